@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, quality, secrets, sharding, warc
+from . import decontamination, mixing, quality, secrets, sharding, warc
 from .shared import scratch_path, words
 
 
@@ -40,6 +40,11 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.plan(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["doc_id"])
+    return rows.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.size("_shards")).cast("long").alias("taken"))
+
+
 def op9_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     found = secrets.findings(docs, secrets.scan(docs), ["doc_id"])
@@ -54,7 +59,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_feistel_shards, op4_wu_manber_decontamination, op6_warc_transactions, op9_blob_ledger_secrets, op10_weak_supervision)}
+    return {f.__name__: f for f in (op2_feistel_shards, op4_wu_manber_decontamination, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
