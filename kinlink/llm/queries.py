@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, mixing, quality, secrets, sharding, warc
+from . import decontamination, html, mixing, quality, secrets, sharding, warc
 from .shared import scratch_path, words
 
 
@@ -15,6 +15,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_nearest_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(_read(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = _read(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"))
@@ -59,7 +63,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_feistel_shards, op4_wu_manber_decontamination, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
+    return {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op4_wu_manber_decontamination, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
