@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html, mixing, quality, secrets, sharding, warc
+from . import decontamination, html, jaccard, mixing, quality, secrets, sharding, warc
 from .shared import scratch_path, words
 
 
@@ -34,6 +34,10 @@ def op4_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_classes(_read(spark, sf_dir, "documents"))
+
+
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(_read(spark, sf_dir, "pages"), path)
@@ -63,7 +67,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op4_wu_manber_decontamination, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
+    return {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op4_wu_manber_decontamination, op5_token_group_join, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
