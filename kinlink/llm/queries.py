@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, html, jaccard, mixing, quality, secrets, sharding, warc
+import corpus_pipeline
+
+from . import decontamination, html, jaccard, maxent, mixing, quality, secrets, sharding, warc
 from .shared import scratch_path, words
 
 
@@ -26,6 +28,10 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_hashed_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_texts(_read(spark, sf_dir, "documents"))
+
+
 def op4_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_read(spark, sf_dir, "benchmark"), F.col("text"))
     rows = _read(spark, sf_dir, "documents").select("doc_id", found.alias("f"))
@@ -67,7 +73,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op4_wu_manber_decontamination, op5_token_group_join, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op3_hashed_maxent_scores, op4_wu_manber_decontamination, op5_token_group_join, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
