@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from .shared import materialize, n_words
 
 #: Blocks of a source at most; a source with fewer documents has about one block a document.
-BLOCKS = 4096
+BLOCKS = 1024
 #: Rows of the block table up to which it is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 MOST_COPIES = 3
@@ -70,12 +70,13 @@ def hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Col
         return (m - x) * (k - x) / ((x + 1) * (n - m - k + x + 1))
 
     def walk(limit: Column) -> Column:
-        zero = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.cast("long").alias("x"))
-        step = lambda a, x: F.struct(
-            F.when(a["sum"] + a["w"] >= limit, a["w"]).otherwise(a["w"] * ratio(x)).alias("w"),
-            F.when(a["sum"] + a["w"] >= limit, a["sum"]).otherwise(a["sum"] + a["w"]).alias("sum"),
-            F.when(a["sum"] + a["w"] >= limit, a["x"]).otherwise(F.least(x + 1, high)).alias("x"),
-        )
+        # What the steps need stands in the accumulator: an expression inside a lambda is computed anew for each element.
+        zero = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"), low.cast("long").alias("x"), limit.cast("double").alias("limit"))
+
+        def step(a: Column, x: Column) -> Column:
+            done = a["sum"] + a["w"] >= a["limit"]
+            return F.when(done, a).otherwise(F.struct((a["w"] * ratio(x)).alias("w"), (a["sum"] + a["w"]).alias("sum"), F.least(x + 1, high).cast("long").alias("x"), a["limit"].alias("limit")))
+
         return F.aggregate(F.sequence(low, high), zero, step)
 
     return walk(u * walk(F.lit(float("inf")))["sum"])["x"]
