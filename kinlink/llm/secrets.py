@@ -33,6 +33,9 @@ RULES = (
     Rule("hex", r"[0-9a-f]{24,}", 24, hint="[0-9a-f]{24}"),
 )
 
+#: Parts into which the paths of a blob are salted.
+SALTS = 32
+
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -94,12 +97,15 @@ def findings(versions: DataFrame, ledger: DataFrame, path: list[str], text: str
     """Every row of ``versions`` as its ``path`` columns, ``blob`` and ``spans``: all findings of the given rules, by place.
 
     Only blobs with findings take part in the join, and rows travel without
-    their texts.  A row without findings has an empty array.
+    their texts.  Each blob's findings are sent ``SALTS`` times, so that the
+    paths of a blob with many copies spread over as many tasks.  A row without
+    findings has an empty array.
     """
     mine = F.concat_ws(":", "kind", F.col("version").cast("string")).isin([f"{r.kind}:{r.version}" for r in rules])
     found = ledger.where(mine & (F.size("spans") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    rows = versions.select(*path, blob_id(F.col(text)).alias("blob"))
-    return rows.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = versions.select(*path, blob_id(F.col(text)).alias("blob")).withColumn("_salt", F.pmod(F.xxhash64(*path), F.lit(SALTS)).cast("int"))
+    return rows.join(found, ["blob", "_salt"], "left").drop("_salt").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
 
 
 def listed(found: Column) -> Column:
