@@ -142,7 +142,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="kinlink", description=__doc__)
     steps = top.add_subparsers(required=True)
 
-    def step(name: str, run, *required: str, **optional) -> argparse.ArgumentParser:
+    def step(name: str, run, /, *required: str, **optional) -> argparse.ArgumentParser:
         p = steps.add_parser(name)
         p.set_defaults(run=run)
         for r in required:
