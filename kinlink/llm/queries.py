@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontamination, html, jaccard, maxent, mixing, quality, secrets, sharding, warc
-from .shared import scratch_path, words
+from . import decontamination, html, jaccard, maxent, mixing, quality, secrets, sharding, tokencounts, warc
+from .oracles import oracle_sql  # noqa: F401
+from .shared import scratch_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,6 +60,19 @@ def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.size("_shards")).cast("long").alias("taken"))
 
 
+#: End of a document: the first id that the vocabulary leaves free.
+SEPARATOR = 50256
+
+
+def op8_separator_scan(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """Tokens of each document, counted in flat token files of a published vocabulary (``vocabulary``: the place of its ranks)."""
+    import public_tokenizers
+
+    encoder = tokencounts.Bpe(vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    manifest = tokencounts.write_token_files(_read(spark, sf_dir, "documents"), scratch_path(spark, "tokens"), encoder, SEPARATOR)
+    return tokencounts.counts_by_document(manifest, SEPARATOR).select("doc_id", "n_tokens")
+
+
 def op9_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     found = secrets.findings(docs, secrets.scan(docs), ["doc_id"])
@@ -73,8 +87,4 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op3_hashed_maxent_scores, op4_wu_manber_decontamination, op5_token_group_join, op6_warc_transactions, op7_splitting_tree_mix, op9_blob_ledger_secrets, op10_weak_supervision)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_nearest_url_differencing, op2_feistel_shards, op3_hashed_maxent_scores, op4_wu_manber_decontamination, op5_token_group_join, op6_warc_transactions, op7_splitting_tree_mix, op8_separator_scan, op9_blob_ledger_secrets, op10_weak_supervision)}
