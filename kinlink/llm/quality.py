@@ -105,7 +105,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int, rounds:
     Smoothed by a Dirichlet prior at the start's chances, which also keeps the
     two classes from changing places.  ``patterns``: votes and their count.
     """
-    (p, good, bad), weight = START, max(1.0, 0.02 * sum(n for _, n in patterns))
+    (p, good, bad), weight = START, max(1.0, 0.005 * sum(n for _, n in patterns))
     prior = [[c[0], 1 - sum(c), c[1]] for c in (good, bad)]
     tables = [[list(prior[0]), list(prior[1])] for _ in range(n_rules)]
     start = p
