@@ -2,8 +2,8 @@
 
 The most frequent tokens are units in classes of 32; a token's probability is
 that of its class times that of the unit within the class, each a softmax over
-hashed features of the context: the last token, the last two, and skips to the
-second and the third last.  Class 0 is all other tokens together, shared out by
+hashed features of the context: the last token, the last two, and a skip to the
+second last.  Class 0 is all other tokens together, shared out by
 their smoothed training counts, so that every text has a proper probability.
 Biases are the training counts; what the features add is trained by gradient
 updates: each input task runs through its own training texts in batches, and
@@ -27,12 +27,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import materialize, small_batches
 from .shingles import word_hashes
 
 HEAD = 1 << 17
 #: Classes, units in each, rows of the weight tables (as a power of two), tokens in a batch of updates.
-CLASSES, UNITS, BITS, BATCH = 32, 32, 15, 16384
+CLASSES, UNITS, BITS, BATCH = 32, 32, 15, 32768
 SLOTS = 1 << 19
 #: Stands for the end of a text; no word is expected to hash to it.
 END = np.uint64(0x5BD1E9955BD1E995)
@@ -100,8 +100,8 @@ class Model:
         return np.where(units > 0, units, START + 1 + (h >> np.uint64(20)) % np.uint64(CONTEXTS)).astype(np.uint64)
 
     @staticmethod
-    def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> list[np.ndarray]:
-        return [c1 * _ODD[0], (c1 * _ODD[1] + c2 + np.uint64(1)) * _ODD[0], (c2 + np.uint64(1 << 20)) * _ODD[2], (c3 + np.uint64(1 << 21)) * _ODD[3]]
+    def features(c1: np.ndarray, c2: np.ndarray) -> list[np.ndarray]:
+        return [c1 * _ODD[0], (c1 * _ODD[1] + c2 + np.uint64(1)) * _ODD[0], (c2 + np.uint64(1 << 20)) * _ODD[2]]
 
     @staticmethod
     def rows(feature: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
@@ -136,18 +136,18 @@ class Model:
 
 
 def _update(w: np.ndarray, squares: np.ndarray, visits: np.ndarray, rows: list[np.ndarray], p: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One adaptive gradient step on the rows of a batch, feature by feature."""
+    """One adaptive gradient step on a batch; ``squares`` is a column a choice, and so are the sums of gradients."""
     p[np.arange(len(p)), target] -= 1
-    for r in rows:
-        order = np.argsort(r, kind="stable")
-        at = r[order]
-        starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, dtype=np.int64)
-        if not len(starts):
-            continue
-        g, which = np.add.reduceat(p[order], starts, axis=0), at[starts]
-        squares[which] += g * g
-        w[which] -= rate * g / np.sqrt(squares[which])
-        visits[which] += np.diff(np.append(starts, len(at)))
+    at = np.concatenate(rows).astype(np.int64)
+    visits += np.bincount(at, minlength=len(w))
+    columns = np.tile(np.ascontiguousarray(p.T, dtype=np.float64), len(rows))
+    step = np.empty_like(squares)
+    for j, column in enumerate(columns):
+        step[j] = np.bincount(at, column, len(w))
+    squares += step * step
+    step *= rate
+    step /= np.sqrt(squares)
+    w -= step.T
 
 
 def _sequences(texts, head: Head, model: Model) -> tuple:
@@ -167,14 +167,14 @@ def _sequences(texts, head: Head, model: Model) -> tuple:
         out[place < k] = START
         return out
 
-    return h, slots, units, (back(1), back(2), back(3)), sizes, starts
+    return h, slots, units, (back(1), back(2)), sizes, starts
 
 
 def _learn(held, rate: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         head, w1, w2 = held.value
         model = Model(head, w1.copy(), w2.copy())
-        squares = [np.full_like(model.w1, 25.0), np.full_like(model.w2, 25.0)]
+        squares = [np.full(w.T.shape, 25.0, dtype=np.float32) for w in (model.w1, model.w2)]
         visits = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
         for batch in batches:
             for part in _groups(batch["text"]):
@@ -284,6 +284,7 @@ def fit(training: DataFrame, rounds: int = 1, rate: float = 0.3) -> tuple[DataFr
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = 1) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("text"))
     vocabulary, head, w1, w2 = fit(rows.where(~F.col("held_out")), rounds)
     held = spark.sparkContext.broadcast((head, w1, w2))

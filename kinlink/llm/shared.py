@@ -38,6 +38,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From here on Arrow batches hold 500 rows and 16 MB at most: whole texts cross to Python, and both sides hold a batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= 500:
+        spark.conf.set(key, "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
