@@ -36,6 +36,11 @@ def top(df: DataFrame, order: Iterable[str], keep: int) -> DataFrame:
     return ranked.where(F.col("candidate_rank") <= keep)
 
 
+def _by_id(pairs: DataFrame) -> DataFrame:
+    """Partitioned by first-source id: one shuffle serves both the merge of signals and the ranking.  Blocks bound how many pairs an id has."""
+    return pairs.repartition("source1_entity_id")
+
+
 def exact_candidates(first: DataFrame, targets: DataFrame, cfg: Blocking = Blocking()) -> DataFrame:
     """2A: pairs that agree on country and name, core or address, in blocks of at most ``max_block_size`` targets."""
     found = []
@@ -43,7 +48,7 @@ def exact_candidates(first: DataFrame, targets: DataFrame, cfg: Blocking = Block
         blocks = block_sizes(targets, key, least).where(F.col("block_size") <= cfg.max_block_size).select(COUNTRY, key)
         small = targets.select(COUNTRY, key, *PAIR[1:]).join(blocks, [COUNTRY, key], "left_semi")
         found.append(first.select("source1_entity_id", COUNTRY, key).join(small, [COUNTRY, key]).select(*PAIR, *[F.lit(int(f == flag)).alias(f) for f in FLAGS]))
-    pairs = found[0].unionByName(found[1]).unionByName(found[2]).groupBy(*PAIR).agg(*[F.max(f).alias(f) for f in FLAGS])
+    pairs = _by_id(found[0].unionByName(found[1]).unionByName(found[2])).groupBy(*PAIR).agg(*[F.max(f).alias(f) for f in FLAGS])
     score = sum(w * F.col(flag) for flag, _, _, w in EXACT_RULES)
     ranked = top(pairs.withColumn("blocking_score", score), ("-blocking_score", "-exact_name", "-exact_address"), cfg.keep_exact)
     return ranked.select(*PAIR, *FLAGS, "blocking_score", "candidate_rank")
@@ -72,7 +77,7 @@ def shared_tokens(first: DataFrame, targets: DataFrame, text: str, stop_words: I
 def _merged(old: DataFrame, new: DataFrame, columns: Iterable[str]) -> DataFrame:
     """AGG4, PRJ2, SET3: both sets of pairs, what a side lacks as 0, each signal's maximum."""
     both = old.unionByName(new, allowMissingColumns=True)
-    return both.groupBy(*PAIR).agg(*[F.coalesce(F.max(c), F.lit(0).cast(both.schema[c].dataType)).alias(c) for c in columns])
+    return _by_id(both).groupBy(*PAIR).agg(*[F.coalesce(F.max(c), F.lit(0).cast(both.schema[c].dataType)).alias(c) for c in columns])
 
 
 def name_token_candidates(first: DataFrame, targets: DataFrame, exact: DataFrame, cfg: Blocking = Blocking()) -> DataFrame:

@@ -27,11 +27,11 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = raw(spark, sf_dir)
-    # The words are normalized already; normalizing again would change nothing.
+    # The words are normalized already; normalizing again would change nothing.  Persisted, as a pipeline's normalized stage is written once and read by every step.
     return rows.select(
         "entity_id", "source", F.col("country").alias("country_normalized"), F.col("business_name").alias("name_normalized"), name_core(F.col("business_name")).alias("name_core"),
         short_address(F.col("business_address")).alias("address_normalized"),
-    )
+    ).persist()
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -203,15 +203,22 @@ def matching_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.matching_results(sides(spark, sf_dir)[0], predictions(spark, sf_dir))
 
 
+def _frozen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Both sides, and the candidates and their scores, persisted: the gates count each of them several times."""
+    first, targets = (x.persist() for x in sides(spark, sf_dir))
+    pairs = blocking.all_candidates(first, targets, CFG).persist()
+    probable = matcher.linear_score(features.pair_features(pairs, first, targets))
+    return first, targets, pairs, probable.withColumn("predicted_match", (F.col("match_probability") >= 0.775).cast("byte")).persist()
+
+
 def validate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, targets = sides(spark, sf_dir)
-    accepted = predictions(spark, sf_dir).where("predicted_match = 1").select(*PAIR)
-    return validation.check_before_export(first, targets, candidates(spark, sf_dir), accepted)
+    first, targets, pairs, predicted = _frozen(spark, sf_dir)
+    return validation.check_before_export(first, targets, pairs, predicted.where("predicted_match = 1").select(*PAIR))
 
 
 def validate_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, targets = sides(spark, sf_dir)
-    return validation.check_export(first, targets, matching_results(spark, sf_dir), export.candidate_export(candidates(spark, sf_dir)))
+    first, targets, pairs, predicted = _frozen(spark, sf_dir)
+    return validation.check_export(first, targets, export.matching_results(first, predicted).persist(), export.candidate_export(pairs))
 
 
 def validate_labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
