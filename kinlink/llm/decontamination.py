@@ -20,6 +20,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 #: A-Z to a-z; every other ASCII character that is no letter or digit to a space.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -129,6 +131,7 @@ def contamination(benchmark: DataFrame, text: Column, item_id: str = "item_id",
     plus one item; each table is broadcast and searched in turn over all rows,
     so a benchmark of any size is searched whole and documents never move.
     """
+    small_batches(benchmark.sparkSession)
     spark, out = benchmark.sparkSession, F.lit(None).cast(_STRUCT)
     for found in list(_blocks(benchmark, item_id, item_text, window, block)) or [{}]:
         out = _search(spark.sparkContext.broadcast(found))(text, out)

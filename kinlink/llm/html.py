@@ -3,7 +3,7 @@
 A page is cut into text lines, one a block.  Pages stand in order of host and
 URL path; each page is compared with its nearest neighbour of the same host
 (the longer common path; the following page on ties; the other one if the
-nearest is a copy), the lines outside a declared article are aligned by longest
+nearest is a copy or shares nothing), the lines outside a declared article are aligned by longest
 common subsequence, and shared lines are deleted.
 
 Element roles settle what differencing can't see: a page's own ``article`` or
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize, ranked
+from .shared import materialize, ranked, small_batches
 
 # Names of HTML elements by their role.
 BLOCKS = frozenset(
@@ -225,7 +225,7 @@ def _common(a: str, b: str) -> int:
 
 
 def deleted(path: pd.Series, around: pd.Series, before: pd.Series, before_path: pd.Series, after: pd.Series, after_path: pd.Series) -> pd.Series:
-    """Which of a page's lines its nearest neighbour shares.  A neighbour that shares nine tenths of them or more is a copy and proves nothing, as long as there is another."""
+    """Which of a page's lines its nearest neighbour shares.  A neighbour that shares nine tenths of them or more is a copy and proves as little as one that shares none; then the other neighbour decides."""
     out = []
     for p, mine, b, bp, a, ap in zip(path, around, before, before_path, after, after_path, strict=True):
         mine = list(mine)
@@ -233,7 +233,7 @@ def deleted(path: pd.Series, around: pd.Series, before: pd.Series, before_path:
         gone: list[int] = []
         for k, (_, _, other) in enumerate(near):
             gone = shared(mine, other)
-            if len(gone) < 0.9 * len(mine) or k == len(near) - 1:
+            if 0 < len(gone) < 0.9 * len(mine) or k == len(near) - 1:
                 break
         out.append(gone if len(gone) < len(mine) else [])
     return pd.Series(out)
@@ -247,6 +247,7 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     hashes of lines outside articles, never pages.  A host of any size is cut
     into ranges of its paths.
     """
+    small_batches(pages.sparkSession)
     raw = pages.select(F.col(page).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(parsed, PARSED)
     held = materialize(raw.withColumn("_id", F.monotonically_increasing_id()), "pages")
     order, _ = ranked(held.select("_id", "host", "path", "url", "page_id", "around", F.col("body").isNull().alias("due")), ["host", "path", "url", "page_id"], "_rank")

@@ -8,9 +8,9 @@ its overlap with every member, and only groups where the bound reaches what
 80 % demands are opened, member by member, with an exact check of the texts.
 
 Leading tokens: all sets are ordered alike, frequent tokens last, else by hash.
-Of n tokens a partner must share a = ceil(0.8 n); so two partners share at
-least k of their first n - a + k tokens.  Which tokens count as frequent only
-orders them; no pair depends on it.
+Of n tokens a partner must share ceil(0.8 n), so the first fifth and some more
+must hold common ones.  Which tokens count as frequent only orders them; no
+pair depends on it.
 
 Inside a group, links to the least member of a band are checked first; where
 they leave a group in parts, the parts are searched as groups of their own.
@@ -23,105 +23,116 @@ together.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .graph import components
-from .shared import materialize
+from .shared import materialize, small_batches
 from .shingles import mix, shingle_set
 
 #: Frequent tokens that are ordered last, at most: what is broadcast is 8 bytes each.
 FREQUENT = 1 << 16
 _SEEDS = mix(np.arange(1, 9, dtype=np.uint64))
+#: Least hash of each of 32 ranges; a band is three of them.
+_RANGES, BANDS = np.arange(32, dtype=np.uint64) << np.uint64(59), 6
 _SKETCH = "doc_id long, n long, s1 long, s2 long, bands array<long>, token long, seen long"
+_COLUMNS = pa.schema([(c, pa.list_(pa.int64()) if c == "bands" else pa.int64()) for c in ("doc_id", "n", "s1", "s2", "bands", "token", "seen")])
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[dict]:
+    """A few rows at a time, so that a batch's texts never stand in memory twice."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows).to_pydict()
+
+
 def _sketches(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row a document; and, a row each, the tokens that several documents of a stretch of input share."""
         held, size = [], 0
-        names = ["doc_id", "n", "s1", "s2", "bands", "token", "seen"]
 
-        def frequent() -> pd.DataFrame:
+        def frequent() -> pa.RecordBatch:
             token, seen = np.unique(np.concatenate(held), return_counts=True)
-            token, seen = token[seen >= 8], seen[seen >= 8]
-            return pd.DataFrame({"doc_id": None, "n": None, "s1": None, "s2": None, "bands": None, "token": _signed(token), "seen": seen}, columns=names)
-
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                rows = []
-                for doc, text in zip(batch["doc_id"][at : at + 500], batch["text"][at : at + 500], strict=True):
-                    s, bands = shingle_set(text, k), None
-                    if len(s):
-                        low = [np.min(mix(s ^ seed)) for seed in _SEEDS]
-                        bands = _signed(mix(np.array(low[::2], dtype=np.uint64) * _SEEDS[0] + np.array(low[1::2], dtype=np.uint64) + np.arange(4, dtype=np.uint64))).tolist()
-                        held.append(s)
-                        size += len(s)
-                    mixed = mix(s * _SEEDS[1])
-                    rows.append((doc, len(s), int(_signed(np.array([np.sum(mixed, dtype=np.uint64)], dtype=np.uint64))[0]), int(_signed(np.array([np.bitwise_xor.reduce(mixed) if len(s) else 0], dtype=np.uint64))[0]), bands, None, None))
-                yield _typed(pd.DataFrame(rows, columns=names))
-                if size > 2_000_000:
-                    yield _typed(frequent())
-                    held, size = [], 0
+            token, seen = _signed(token[seen >= 8]), seen[seen >= 8]
+            return pa.record_batch([pa.nulls(len(token), _COLUMNS.field(c).type) for c in range(5)] + [pa.array(token), pa.array(seen, pa.int64())], schema=_COLUMNS)
+
+        for part in _slices(batches):
+            n, s1, s2, bands = [], [], [], []
+            for text in part["text"]:
+                s = shingle_set(text, k)
+                mixed = mix(s * _SEEDS[1])
+                n.append(len(s))
+                s1.append(np.sum(mixed, dtype=np.uint64).view(np.int64))
+                s2.append(np.bitwise_xor.reduce(mixed).view(np.int64) if len(s) else 0)
+                if len(s):
+                    at = np.searchsorted(s, _RANGES)
+                    low = s[np.where(at < len(s), at, 0)][: 3 * BANDS].reshape(BANDS, 3)
+                    bands.append(_signed(mix(low[:, 0] * _SEEDS[0] + low[:, 1] * _SEEDS[1] + low[:, 2] * _SEEDS[2])))
+                    held.append(s)
+                    size += len(s)
+                else:
+                    bands.append(None)
+            none = pa.nulls(len(n), pa.int64())
+            yield pa.record_batch([pa.array(part["doc_id"], pa.int64()), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), none, none], schema=_COLUMNS)
+            if size > 1_000_000:
+                yield frequent()
+                held, size = [], 0
         if held:
-            yield _typed(frequent())
+            yield frequent()
 
     return run
 
 
-def _typed(df: pd.DataFrame) -> pd.DataFrame:
-    for c in ("doc_id", "n", "s1", "s2", "token", "seen"):
-        df[c] = df[c].astype("Int64")
-    df["bands"] = pd.Series([x if isinstance(x, list) else None for x in df["bands"]], dtype=object)
-    return df
+#: How many of their leading tokens two partners share at least, by the smaller one's n: k.
+_SPARE = "(n - (4 * n + 4) div 5 + 1) div 3 + 1"
 
 
-def _needs(n):
-    """Tokens a partner must share; how many of the leading ones (k); how many lead."""
+def _lead(n: int) -> int:
+    """How many tokens of a set of n lead: n - ceil(0.8 n) + k."""
     a = (4 * n + 4) // 5
-    k = (n - a + 1) // 3 + 1
-    return a, k, n - a + k
+    return n - a + (n - a + 1) // 3 + 1
 
 
 def _leading(k: int, frequent):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = frequent.value
-        for batch in batches:
-            for at in range(0, len(batch), 2000):
-                rows = []
-                for doc, text in zip(batch["doc_id"][at : at + 2000], batch["text"][at : at + 2000], strict=True):
-                    s = shingle_set(text, k)
-                    if len(s):
-                        if len(common):
-                            late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
-                            s = np.concatenate([s[~late], s[late]])
-                        rows.append((doc, _signed(s[: _needs(len(s))[2]].copy())))
-                yield pd.DataFrame(rows, columns=["doc_id", "tokens"])
+        for part in _slices(batches):
+            ids, tokens = [], []
+            for doc, text in zip(part["doc_id"], part["text"], strict=True):
+                s = shingle_set(text, k)
+                if len(s):
+                    if len(common):
+                        late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+                        s = np.concatenate([s[~late], s[late]])
+                    ids.append(doc)
+                    tokens.append(_signed(s[: _lead(len(s))]))
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
 
     return run
 
 
 def _checked(k: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, None
-        for batch in batches:
+        for part in _slices(batches):
             good = []
-            for x, y in zip(batch["text_x"], batch["text_y"], strict=True):
+            for x, y in zip(part["text_x"], part["text_y"], strict=True):
                 if y != last:
                     last, kept = y, shingle_set(y, k)
                 s = shingle_set(x, k)
                 both = len(np.intersect1d(s, kept, assume_unique=True))
                 good.append(bool(both) and 100 * both >= 80 * (len(s) + len(kept) - both))
-            yield batch[["x", "y"]].assign(ok=good)
+            yield pa.record_batch([pa.array(part["x"], pa.int64()), pa.array(part["y"], pa.int64()), pa.array(good, pa.bool_())], names=["x", "y", "ok"])
 
     return run
 
@@ -129,28 +140,56 @@ def _checked(k: int):
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, name: str) -> DataFrame:
     """``pairs`` (x, y) with ``ok``, checked exactly on the whole texts."""
     rows = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("text_x")), "x").join(texts.select(F.col("node").alias("y"), F.col("text").alias("text_y")), "y")
-    return materialize(rows.select("x", "y", "text_x", "text_y").mapInPandas(_checked(k), "x long, y long, ok boolean"), name)
+    return materialize(rows.select("x", "y", "text_x", "text_y").mapInArrow(_checked(k), "x long, y long, ok boolean"), name)
 
 
 def _opened(tokens: DataFrame) -> DataFrame:
-    """Pairs (x < y) of nodes in different groups that share enough leading tokens; ``tokens``: token, node, n, k, label (and within: groups meet only inside it)."""
-    key = ["within", "token"]
+    """Pairs (x < y) of nodes with different labels that share enough leading tokens.
+
+    ``tokens``: within (labels meet only inside it), token, pos (place among the
+    leading tokens), node, n, label.  A group is the nodes of a label of about
+    one size.  First, the larger node of a pair has a k-th of its first
+    n - ceil(0.8 n) + k tokens among the smaller one's first n - ceil(8/9 n) + k;
+    groups with fewer such tokens in their union are not met.  Then all leading
+    tokens are counted against the union: what two nodes share is at most that
+    count and what follows the leading tokens of either.  Groups where this
+    reaches 4/9 of both sizes are opened, and the same bound is held against
+    each member.
+    """
+    spare = F.expr("(n - (4 * n + 4) div 5 + 1) div 4 + 1")
+    key, group = ["within", "token"], ["label", "bin"]
+    tokens = tokens.withColumns(
+        {"k": spare, "bin": F.floor(F.log(F.col("n")) / math.log(1.06)).cast("int"), "rest": F.expr(f"n - least(n, n - (4 * n + 4) div 5 + {_SPARE})")}
+    )
     split = tokens.groupBy(*key).agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select(*key)
     rows = materialize(tokens.join(split, key), "matrix")
-    matrix = rows.groupBy(*key, "label").agg(F.min("k").alias("least")).withColumnRenamed("label", "group")
-    met = rows.join(matrix, key).where("label <> group").groupBy("within", "node", "group").agg(F.count("*").alias("shared"), F.min(F.least("k", "least")).alias("needed"))
-    groups = met.where("shared >= needed").select("within", F.col("node").alias("x"), "group")
-    mine = rows.select("within", "token", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("k").alias("k_x")).join(groups, ["within", "x"])
-    theirs = rows.select("within", "token", F.col("label").alias("group"), F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("k").alias("k_y"))
-    pairs = mine.join(theirs, [*key, "group"]).where("x < y AND 5 * n_x >= 4 * n_y AND 5 * n_y >= 4 * n_x")
-    return pairs.groupBy("x", "y").agg(F.count("*").alias("shared"), F.min(F.least("k_x", "k_y")).alias("needed")).where("shared >= needed").select("x", "y")
+
+    small = rows.where("pos < n - (8 * n + 8) div 9 + k")
+    able = small.groupBy("within", "node", "n").agg(F.count("*").alias("_c"), F.max("k").alias("_k")).where("_c >= _k").select("within", "node", "n")
+    union = small.join(able, ["within", "node", "n"], "left_semi").groupBy(*key, *group).agg(F.min("k").alias("_k"), F.min("n").alias("_low"), F.max("n").alias("_high"))
+    large = rows.where("pos < n - (4 * n + 4) div 5 + k").select(*key, F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("_mine"))
+    met = large.join(union, key).where("label <> _mine AND _low <= n_x AND 5 * _high >= 4 * n_x")
+    met = met.groupBy("within", "x", "n_x", *group).agg(F.count("*").alias("_c"), F.min("_k").alias("_k")).where("_c >= _k").select("within", "x", "n_x", *group)
+    met = materialize(met, "groups")
+
+    of = rows.select(*key, F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("rest").alias("rest_x"))
+    union = rows.groupBy(*key, *group).agg(F.min("n").alias("n_y"), F.max("rest").alias("rest_y"))
+    counted = of.join(met, ["within", "x", "n_x"]).join(union, [*key, *group])
+    counted = counted.groupBy("within", "x", "n_x", *group).agg(F.count("*").alias("_c"), F.min("n_y").alias("n_y"), F.max(F.greatest("rest_x", "rest_y")).alias("_rest"))
+    opened = materialize(counted.where("9 * (_c + _rest) >= 4 * (n_x + n_y)").select("within", "x", "n_x", *group), "groups")
+
+    members = rows.select(*key, *group, F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("rest").alias("rest_y"))
+    pairs = of.join(opened, ["within", "x", "n_x"]).join(members, [*key, *group]).where("n_y <= n_x AND 5 * n_y >= 4 * n_x")
+    pairs = pairs.groupBy("x", "y", "n_x", "n_y", "rest_x", "rest_y").agg(F.count("*").alias("_c")).where("9 * (_c + greatest(rest_x, rest_y)) >= 4 * (n_x + n_y)")
+    return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y").distinct()
 
 
 def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the least id reachable by links of 80 % or more."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = materialize(rows.mapInPandas(_sketches(k), _SKETCH), "sketches")
+    found = materialize(rows.mapInArrow(_sketches(k), _SKETCH), "sketches")
     top = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(FREQUENT)
     frequent = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in top.select("token").collect()], dtype=np.int64).view(np.uint64)))
 
@@ -176,11 +215,13 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     of = materialize(of, "labels")
 
     # The leading tokens that two documents or more have; then those of nodes, with their groups.
-    tokens = rows.where("doc_id IS NOT NULL").mapInPandas(_leading(k, frequent), "doc_id long, tokens array<long>").select(F.explode("tokens").alias("token"), "doc_id")
+    tokens = rows.where("doc_id IS NOT NULL").mapInArrow(_leading(k, frequent), "doc_id long, tokens array<long>").select(F.posexplode("tokens").alias("pos", "token"), "doc_id")
     every = Window.partitionBy("token")
-    met = tokens.withColumn("_a", F.min("doc_id").over(every)).withColumn("_b", F.max("doc_id").over(every)).where("_a <> _b").select("token", F.col("doc_id").alias("node"))
-    needs = F.expr("(n - (4 * n + 4) div 5 + 1) div 3 + 1").alias("k")
-    led = materialize(met.join(of, "node").select("token", "node", "n", needs, "label"), "tokens")
+    met = tokens.withColumn("_a", F.min("doc_id").over(every)).withColumn("_b", F.max("doc_id").over(every)).where("_a <> _b").select("token", "pos", F.col("doc_id").alias("node"))
+    # A node with a partner has k such tokens at least, k of the smallest partner it can have; so few have them that this stands before every other join.
+    least = _SPARE.replace("n", "((4 * n + 4) div 5)")
+    led = met.join(of, "node").withColumn("_c", F.count("*").over(Window.partitionBy("node"))).where(f"_c >= {least}")
+    led = materialize(led.select("token", "pos", "node", "n", "label"), "tokens")
     pairs = materialize(star.unionByName(_opened(led.withColumn("within", F.lit(0)))).distinct(), "pairs")
 
     # One exact check of each candidate, on texts that are fetched once.
@@ -193,7 +234,11 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     sound = up.join(links.select(F.col("x").alias("up"), F.col("y").alias("node")), ["up", "node"], "left_semi")
     part = climb(sound).withColumnRenamed("label", "part")
     torn = up.join(sound, ["node", "up"], "left_anti").join(of, "node").select(F.col("label").alias("within")).distinct()
-    parts = led.withColumnRenamed("label", "within").join(torn, "within", "left_semi").join(part, "node", "left").withColumn("label", F.coalesce("part", "node")).drop("part")
+    # A label may be hot: its rows are salted for the join.
+    torn = torn.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
+    salted = led.withColumnRenamed("label", "within").withColumn("_salt", F.pmod(F.xxhash64("node", "token"), F.lit(32)).cast("int"))
+    parts = salted.join(torn, ["within", "_salt"], "left_semi").drop("_salt").join(part, "node", "left").withColumn("label", F.coalesce("part", "node")).drop("part")
+    parts = materialize(parts, "tokens")
     more = materialize(_opened(parts).join(first.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
     links = links.unionByName(_verified(more, texts, k, "checked").where("ok").select("x", "y"))
 
