@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
+SALTS = 32
 RECORDS = "record_id string, type string, concurrent_to string, refers_to string, uri string, date string, digest string, payload_bytes long, payload binary, fields map<string,string>"
 
 
@@ -43,8 +44,11 @@ def captures(pages: DataFrame, page: str = "page_id", url: str = "url", payload:
     rows = rows.withColumn("_digest", F.sha1("_payload")).withColumn("_bytes", F.octet_length("_payload").cast("long"))
     me = F.struct(F.col("_page").alias("page"), F.col("_url").alias("url"))
     groups = rows.where(F.col("_bytes") >= least).groupBy("_digest").agg(F.max(me).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    # The rows of one payload may be a third of all: they spread over salts, and their group's row goes to each.
+    groups = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_page", "_url"), F.lit(SALTS)).cast("int"))
     first = F.when((F.col("_bytes") >= least) & ~F.col("_first").eqNullSafe(me), F.col("_first"))
-    return rows.join(groups, "_digest", "left").withColumn("_first", first)
+    return rows.join(groups, ["_digest", "_salt"], "left").withColumn("_first", first).drop("_salt")
 
 
 def write_warc(pages: DataFrame, path: str, page: str = "page_id", url: str = "url", payload: str = "html", least: int = 1000, records_per_file: int = 3000) -> None:
