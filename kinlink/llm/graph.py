@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     Each round hangs a node's larger neighbours, then its smaller ones, on the
     least of them; rounds grow with the logarithm of the longest path.  A
     node's neighbours are never gathered: minima are pre-aggregated and joined
-    back, where a hot node's rows can be split.
+    back from a written table, so that the join can split a hot node's rows.
     """
     edges = materialize(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct(), "edges")
     seen = None
@@ -24,9 +24,9 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")

@@ -200,7 +200,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
 
     # Groups: a node hangs on the least node with which it has a band in common.
     band = nodes.select("node", F.posexplode("bands").alias("i", "value"))
-    least = band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("c")).where("c > 1").drop("c")
+    least = materialize(band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("c")).where("c > 1").drop("c"), "bands")
     up = materialize(band.join(least, ["i", "value"]).groupBy("node").agg(F.min("up").alias("up")).where("up < node"), "up")
     star = up.select(F.col("up").alias("x"), F.col("node").alias("y"))
 
