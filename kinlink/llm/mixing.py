@@ -25,7 +25,7 @@ BLOCKS = 1024
 #: Rows of the block table up to which it is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 MOST_COPIES = 3
-#: Permutations of a source's blocks that are tried; the one that fills its target best counts.
+#: Permutations of a source's blocks that are tried at most; the one that fills its target best counts.
 ORDERS = 16
 
 
@@ -137,22 +137,26 @@ def draws(sized: DataFrame, shards: int = 16, seed: int = 5) -> DataFrame:
     goals = targets(blocks.groupBy("source").agg(F.sum("words").alias("source_size")))
     epochs = F.when(F.col("source_size") > 0, F.least(F.lit(MOST_COPIES), F.floor(F.col("target") / F.col("source_size") + 1e-9))).otherwise(1).cast("int")
     goals = goals.withColumn("epochs", epochs).withColumn("left", F.col("target") - F.col("epochs") * F.col("source_size"))
-    listed = blocks.groupBy("source").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed), F.lit("order"), "source", "block").alias("h"), "block", "words"))).alias("all"))
+    listed = blocks.groupBy("source").agg(F.sort_array(F.collect_list(F.struct(F.xxhash64(F.lit(seed), F.lit("order"), "source", "block").alias("h"), "block", "words"))).alias("all"))
     rows = listed.alias("l").join(goals.alias("g"), F.expr("l.source <=> g.source")).select("g.*", "l.all")
 
+    # Many blocks fill a target closely in any order; few are worth more tries for the same work.
+    tries = F.greatest(F.lit(1), F.least(F.lit(ORDERS), F.expr(f"cast({BLOCKS} div greatest(size(all), 1) as int)")))
+
     def filled(order: Column) -> Column:
         """What a permuted order of the blocks leaves of the target, and the blocks it takes."""
-        by = F.array_sort(F.transform("all", lambda x: F.struct(F.xxhash64(order, x["h"]).alias("h"), x["block"].alias("block"), x["words"].alias("words"))))
+        by = F.sort_array(F.transform("all", lambda x: F.struct(F.xxhash64(order, x["h"]).alias("h"), x["block"].alias("block"), x["words"].alias("words"))))
         zero = F.struct(F.col("left").cast("double").alias("left"), F.array().cast("array<int>").alias("out"))
         return F.aggregate(by, zero, lambda a, x: F.when(x["words"] <= a["left"] + 1e-6, F.struct((a["left"] - x["words"]).cast("double").alias("left"), F.concat(a["out"], F.array(x["block"])).alias("out"))).otherwise(a))
 
-    rows = rows.withColumn("_taken", F.array_min(F.transform(F.sequence(F.lit(1), F.lit(ORDERS)), filled)))
+    rows = rows.withColumn("_taken", F.array_min(F.transform(F.sequence(F.lit(1), tries), filled)))
     over = F.filter("all", lambda x: (x["words"] < 2 * F.col("_taken.left")) & ~F.array_contains("_taken.out", x["block"]))
     nearest = F.array_min(F.transform(over, lambda x: F.struct(F.abs(x["words"] - F.col("_taken.left")).alias("far"), x["block"].alias("block"))))["block"]
     rows = rows.withColumn("_one", nearest).withColumn("_more", F.concat("_taken.out", F.when(F.col("_one").isNull(), F.array().cast("array<int>")).otherwise(F.array("_one"))))
     rows = rows.withColumn("_more", F.when(F.col("epochs") < MOST_COPIES, F.col("_more")).otherwise(F.array().cast("array<int>")))
     each = rows.select("source", "source_size", "target", "epochs", "_more", F.explode("all").alias("_b")).withColumn("block", F.col("_b.block"))
     each = each.withColumn("copies", F.col("epochs") + F.array_contains("_more", F.col("block")).cast("int")).drop("_b", "_more", "epochs")
+    each = materialize(each, "copies")
     drawn = each.where("copies > 0").select("source", "block", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     drawn = drawn.withColumn("_at", F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), F.lit("draw"), "block", "copy"), "block", "copy")))
     ends = split_quotas(each.groupBy("source").agg(F.sum("copies").cast("long").alias("draws")), shards, seed)
