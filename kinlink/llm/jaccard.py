@@ -200,7 +200,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
 
     # Groups: a node hangs on the least node with which it has a band in common.
     band = nodes.select("node", F.posexplode("bands").alias("i", "value"))
-    least = materialize(band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("c")).where("c > 1").drop("c"), "bands")
+    least = band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("c")).where("c > 1").drop("c")
     up = materialize(band.join(least, ["i", "value"]).groupBy("node").agg(F.min("up").alias("up")).where("up < node"), "up")
     star = up.select(F.col("up").alias("x"), F.col("node").alias("y"))
 
@@ -224,9 +224,9 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     led = materialize(led.select("token", "pos", "node", "n", "label"), "tokens")
     pairs = materialize(star.unionByName(_opened(led.withColumn("within", F.lit(0)))).distinct(), "pairs")
 
-    # One exact check of each candidate, on texts that are fetched once.
+    # One exact check of each candidate, on texts that are fetched once.  The list of candidates grows with the corpus, so it is never broadcast.
     active = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    texts = materialize(rows.withColumnRenamed("doc_id", "node").join(active, "node", "left_semi").dropDuplicates(["node", "text"]), "texts")
+    texts = materialize(rows.withColumnRenamed("doc_id", "node").join(active.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"]), "texts")
     first = _verified(pairs, texts, k, "checked")
     links = first.where("ok").select("x", "y")
 
