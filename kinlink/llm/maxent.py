@@ -2,8 +2,8 @@
 
 The most frequent tokens are units in classes of 32; a token's probability is
 that of its class times that of the unit within the class, each a softmax over
-hashed features of the context: the last token, the last two, and a skip to the
-second last.  Class 0 is all other tokens together, shared out by
+hashed features of the context: the last token, the last two, and skips to the
+second and the third last.  Class 0 is all other tokens together, shared out by
 their smoothed training counts, so that every text has a proper probability.
 Biases are the training counts; what the features add is trained by gradient
 updates: each input task runs through its own training texts in batches, and
@@ -32,7 +32,7 @@ from .shingles import word_hashes
 
 HEAD = 1 << 17
 #: Classes, units in each, rows of the weight tables (as a power of two), tokens in a batch of updates.
-CLASSES, UNITS, BITS, BATCH = 32, 32, 15, 32768
+CLASSES, UNITS, BITS, BATCH = 32, 32, 15, 16384
 SLOTS = 1 << 19
 #: Stands for the end of a text; no word is expected to hash to it.
 END = np.uint64(0x5BD1E9955BD1E995)
@@ -100,8 +100,9 @@ class Model:
         return np.where(units > 0, units, START + 1 + (h >> np.uint64(20)) % np.uint64(CONTEXTS)).astype(np.uint64)
 
     @staticmethod
-    def features(c1: np.ndarray, c2: np.ndarray) -> list[np.ndarray]:
-        return [c1 * _ODD[0], (c1 * _ODD[1] + c2 + np.uint64(1)) * _ODD[0], (c2 + np.uint64(1 << 20)) * _ODD[2]]
+    def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray | None = None) -> list[np.ndarray]:
+        found = [c1 * _ODD[0], (c1 * _ODD[1] + c2 + np.uint64(1)) * _ODD[0], (c2 + np.uint64(1 << 20)) * _ODD[2]]
+        return found if c3 is None else [*found, (c3 + np.uint64(1 << 21)) * _ODD[3]]
 
     @staticmethod
     def rows(feature: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
@@ -167,7 +168,7 @@ def _sequences(texts, head: Head, model: Model) -> tuple:
         out[place < k] = START
         return out
 
-    return h, slots, units, (back(1), back(2)), sizes, starts
+    return h, slots, units, (back(1), back(2), back(3)), sizes, starts
 
 
 def _learn(held, rate: float):

@@ -178,3 +178,29 @@ def test_model_sums_to_one():
     assert (head.find(np.array([5], dtype=np.uint64)) == -1).all()
 
 
+def test_third_last_token_and_small_batches_train_the_model(monkeypatch):
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pandas as pd
+
+    pick, texts = random.Random(2), []
+    for _ in range(400):
+        x = [pick.randrange(2) for _ in range(20)]
+        texts.append(" ".join(f"{'ab'[k]} {pick.choice('uvwx')} {pick.choice('uvwx')} {'cd'[k]}" for k in x))
+    hashes, counts = np.unique(np.concatenate([maxent.tokens(t) for t in texts]), return_counts=True)
+    order = np.argsort(-counts)
+    head = maxent.Head(hashes[order], counts[order], int(counts.sum()), len(counts))
+    blank = maxent.Model(head)
+    steps, update = [], maxent._update
+    monkeypatch.setattr(maxent, "_update", lambda *a: (steps.append(len(a[4])), update(*a)))
+    rows = list(maxent._learn(SimpleNamespace(value=(head, blank.w1, blank.w2)), 0.3)(iter([pd.DataFrame({"text": texts})])))
+    assert max(steps) <= 16384
+    for part in rows:
+        w = (blank.w1, blank.w2)[int(part["k"].iloc[0])]
+        w[part["row"].to_numpy()] = np.stack(part["w"])
+    _, _, units, contexts, _, _ = maxent._sequences(texts, head, blank)
+    logs, _, _ = blank.forward(units, blank.features(*contexts))
+    h = np.concatenate([maxent.tokens(t) for t in texts])
+    told = np.isin(h, maxent.tokens("c d")[:-1])
+    assert logs[told].mean() > math.log(0.5) + 0.1  # by the two tokens before it alone, a coin flip
