@@ -43,6 +43,8 @@ MARKS = frozenset(
     "footer sidebar sidebars aside widget widgets notice notices cookie cookies consent gdpr banner popup modal overlay newsletter subscribe subscription comment comments disqus respond reply replies "
     "share sharing social related recommended form login signup search pagination pager toolbar".split()
 )
+#: Words that may stand beside them in one class ("comment-list"); any other word makes it another class ("has-sidebar").
+PLAIN = frozenset("area bar block box button buttons container inner item items link links list main section site slot unit wrap wrapper".split())
 COMMENTS = frozenset(("comment", "comments", "reply", "replies"))
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
@@ -58,36 +60,72 @@ _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 GONE, KEPT, OPEN = 0, 1, 2
 
 
-def _marked(name: str, tag: str) -> bool:
+#: What a start tag says of its element: nothing, a class word that marks it, or that it is no main text in any case.
+FREE, NAMED, OUT = 0, 1, 2
+
+
+def _marked(name: str, tag: str) -> int:
     """Does the start tag say that its element is no main text?"""
     if name in DROPPED:
-        return True
+        return OUT
     if not _MARKED.search(tag):
-        return False
+        return FREE
+    says = FREE
     for key, value in _ATTR.findall(tag[1 + len(name) :]):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in ROLES:
-            return True
+            return OUT
         if key in ("class", "id") and name not in UNNAMED:
-            found = set(re.split(r"[^a-z]+", value))
-            if found & (COMMENTS if name == "article" else MARKS):
-                return True
-    return False
+            marks = COMMENTS if name == "article" else MARKS
+            for token in value.split():
+                found = {w for w in re.split(r"[^a-z]+", token) if w}
+                if found & marks and found <= marks | PLAIN:
+                    says = NAMED
+    return says
+
+
+def _lifted(parents: list[int], sizes: list[int], around: list[bool], free: int) -> list[bool]:
+    """Which class marks don't hold, on a page whose every article is inside one: those around an article that has more text than what is ``free`` of marks, and those around most of the page's text."""
+    total = free + sum(sizes)
+    whole, holds = list(sizes), list(around)
+    for k in range(len(parents) - 1, -1, -1):
+        if parents[k] >= 0:
+            whole[parents[k]] += whole[k]
+            holds[parents[k]] |= holds[k]
+    return [2 * n > total or has and n > free for n, has in zip(whole, holds, strict=True)]
 
 
 def lines(html: str | None) -> list[tuple[str, int]]:
     """The text lines of a page in order, each with its role."""
-    out: list[tuple[str, int]] = []
+    out: list[tuple[list, bool, bool, int]] = []  # texts with their inline marks, out in any case, main, mark
     if not html:
-        return out
-    stack: list[tuple[str, bool | None, bool]] = []  # name, gone, main: of the open elements
+        return []
+    stack: list[tuple[str, bool | None, bool, int, int]] = []  # name, out, main, mark, inline mark: of the open elements
     count: dict[str, int] = {}
-    held: list[str] = []
+    held: list[tuple[str, int]] = []
+    # Class marks: the mark around each, the text in it alone, whether an article is.
+    parents: list[int] = []
+    sizes: list[int] = []
+    around: list[bool] = []
+    free, bare = 0, False
+
+    def hold(text: str) -> None:
+        nonlocal free
+        _, gone, _, mark, inline = stack[-1] if stack else ("", False, False, -1, -1)
+        if gone is None:
+            return
+        held.append((unescape(text), inline))
+        if gone is False:
+            n, k = len(text.strip()), max(mark, inline)
+            if k >= 0:
+                sizes[k] += n
+            else:
+                free += n
 
     def flush() -> None:
-        if held and (text := " ".join("".join(held).split())):
-            gone, main = stack[-1][1:] if stack else (False, False)
-            out.append((text, GONE if gone is not False else KEPT if main else OPEN))
+        if held:
+            gone, main, mark = stack[-1][1:4] if stack else (False, False, -1)
+            out.append((list(held), gone is not False, main, mark))
         held.clear()
 
     def pop_to(name: str) -> None:
@@ -99,8 +137,8 @@ def lines(html: str | None) -> list[tuple[str, int]]:
 
     at = 0
     for m in _TOKEN.finditer(html):
-        if m.start() > at and not (stack and stack[-1][1] is None):
-            held.append(unescape(html[at : m.start()]))
+        if m.start() > at:
+            hold(html[at : m.start()])
         at = m.end()
         if not m["name"]:
             continue
@@ -120,16 +158,41 @@ def lines(html: str | None) -> list[tuple[str, int]]:
                 pop_to("p")
         if name in VOID:
             continue
-        gone, main = stack[-1][1:] if stack else (False, False)
+        gone, main, mark, inline = stack[-1][1:] if stack else (False, False, -1, -1)
         hit = _marked(name, m[0])
-        if hit and not block and gone is False:
+        if hit == NAMED and gone is False:
+            parents.append(max(mark, inline))
+            sizes.append(0)
+            around.append(False)
+            if block and inline < 0:
+                mark = len(parents) - 1
+            else:
+                inline = len(parents) - 1
+        elif hit == OUT and not block and gone is False:
             gone = None  # inside a block: its text is skipped, and the block goes on
-        stack.append((name, gone if gone is None else gone or hit, main or (name in MAIN and gone is False and not hit)))
+        elif hit == OUT and gone is False:
+            gone = True
+        if name in MAIN and gone is False:
+            main = True
+            if max(mark, inline) >= 0:
+                around[max(mark, inline)] |= hit == FREE
+            else:
+                bare = True
+        stack.append((name, gone, main, mark, inline))
         count[name] = count.get(name, 0) + 1
-    if at < len(html) and not (stack and stack[-1][1] is None):
-        held.append(unescape(html[at:]))
+    if at < len(html):
+        hold(html[at:])
     flush()
-    return out
+    lifted = [False] * len(parents) if bare else _lifted(parents, sizes, around, free)
+    holds: list[bool] = []
+    for k, p in enumerate(parents):
+        holds.append(not lifted[k] or p >= 0 and holds[p])
+    found: list[tuple[str, int]] = []
+    for texts, gone, main, mark in out:
+        gone = gone or mark >= 0 and holds[mark]
+        if text := " ".join("".join(t for t, k in texts if gone or k < 0 or not holds[k]).split()):
+            found.append((text, GONE if gone else KEPT if main else OPEN))
+    return found
 
 
 def _rows(a: list, b: list, keep: bool) -> list[int]:

@@ -46,6 +46,16 @@ def test_lines_of_a_page():
     assert text("<article><p>" + "x " * 200_000 + "</p></article>") == [("x " * 200_000).strip()]
 
 
+def test_layout_classes_keep_the_page():
+    for wrap in ('<div class="page has-sidebar">', '<div id="wrap" class="no-sidebar">', '<div class="page sidebar">', '<div class="with-search"><section class="header-fixed">', '<my-app class="page sidebar">'):
+        assert text(f'<body>{wrap}<div class="ad">buy</div><article><p>one</p><p>two and more</p></article></div></body>') == ["one", "two and more"], wrap
+    assert html.lines('<div class="search"><p>all the text of it</p></div><p>end</p>') == [("all the text of it", html.OPEN), ("end", html.OPEN)]
+    aside = '<div class="related"><article><p>teaser</p></article></div>'
+    assert text(f"<article><p>own</p></article>{aside}") == ["own"]
+    assert html.lines(f"<p>a text without an article</p>{aside}") == [("a text without an article", html.OPEN), ("teaser", html.GONE)]
+    assert text('<article><p>own</p><ul class="comment-list"><li>first!</li></ul></article>') == ["own"]
+
+
 def test_hostile_pages_take_linear_time():
     for part in ("<a ", '<a x="', "<b>", "</b>", "<!--", "<script>", "&#", "<div class='ad'>"):
         html.lines(part * 60_000)
