@@ -3,12 +3,13 @@
 A page is cut into text lines, one a block.  Pages stand in order of host and
 URL path; each page is compared with its nearest neighbour of the same host
 (the longer common path; the following page on ties; the other one if the
-nearest is a copy or shares nothing), the lines outside a declared article are aligned by longest
+nearest is a copy or shares nothing), their lines are aligned by longest
 common subsequence, and shared lines are deleted.
 
-Element roles settle what differencing can't see: a page's own ``article`` or
-``main`` element keeps its lines even if a neighbour has them too, and is the
-whole main text of the page that declares it; text in menus, headers, footers,
+Element roles guard it: lines of a page's own ``article`` or ``main`` element go
+only if at least half the pages of their host have them in theirs (three at
+least), and where no neighbour proves anything that element is the whole main
+text; text in menus, headers, footers,
 sidebars, notices, adverts, forms, scripts and comments goes even if no
 neighbour has it.  Null pages have an empty text.  Null URLs are one host.
 """
@@ -248,23 +249,20 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-PARSED = "page_id long, url string, host string, path string, body string, open array<string>, around array<long>, at array<int>"
+PARSED = "page_id long, url string, host string, path string, lines array<string>, own array<boolean>, around array<long>, at array<int>"
 _URL = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)")
 
 
 def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pages to ``PARSED``: the text that is settled; for pages without an article, their open lines; the hashes of all lines outside articles, and where among them the open ones are."""
+    """Pages to ``PARSED``: the lines that may be main text, whether each is of an article, the hashes of all lines, and where among them those lines are."""
     for batch in batches:
         rows, held = [], 0
         for page, url, html in zip(batch["page_id"], batch["url"], batch["html"], strict=True):
             found = lines(html)
-            main = [t for t, role in found if role == KEPT]
-            outer = [(t, role) for t, role in found if role != KEPT]
-            settled = bool(main) or not outer
             m = _URL.match(url or "")
             host, path = (m[1].lower().rpartition("@")[2], m[2] or "/") if m else ("", url or "")
-            open_lines = [] if settled else [t for t, role in outer if role == OPEN]
-            rows.append((page, url, host, path, "\n".join(main) if settled else None, open_lines, [_hash(t) for t, _ in outer], [] if settled else [i for i, (_, role) in enumerate(outer) if role == OPEN]))
+            at = [i for i, (_, role) in enumerate(found) if role != GONE]
+            rows.append((page, url, host, path, [found[i][0] for i in at], [found[i][1] == KEPT for i in at], [_hash(t) for t, _ in found], at))
             held += len(html or "")
             if held > 8_000_000:
                 yield _frame(rows)
@@ -273,7 +271,7 @@ def parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["page_id", "url", "host", "path", "body", "open", "around", "at"])
+    out = pd.DataFrame(rows, columns=["page_id", "url", "host", "path", "lines", "own", "around", "at"])
     out["page_id"] = out["page_id"].astype("Int64")
     return out
 
@@ -287,38 +285,53 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def deleted(path: pd.Series, around: pd.Series, before: pd.Series, before_path: pd.Series, after: pd.Series, after_path: pd.Series) -> pd.Series:
-    """Which of a page's lines its nearest neighbour shares.  A neighbour that shares nine tenths of them or more is a copy and proves as little as one that shares none; then the other neighbour decides."""
+def kept(path: pd.Series, around: pd.Series, at: pd.Series, own: pd.Series, common: pd.Series, before: pd.Series, before_path: pd.Series, after: pd.Series, after_path: pd.Series) -> pd.Series:
+    """Which lines of ``at`` stay, where not those that roles alone give.  A neighbour that shares nine tenths of a page's lines or more is a copy and proves as little as one that shares none; then the other neighbour decides."""
     out = []
-    for p, mine, b, bp, a, ap in zip(path, around, before, before_path, after, after_path, strict=True):
-        mine = list(mine)
+    for p, mine, places, article, often, b, bp, a, ap in zip(path, around, at, own, common, before, before_path, after, after_path, strict=True):
+        mine, often = list(mine), set() if often is None else set(often)
         near = sorted(((-_common(p, q), k, list(x)) for k, (x, q) in enumerate(((a, ap), (b, bp))) if x is not None), key=lambda t: t[:2])
         gone: list[int] = []
-        for k, (_, _, other) in enumerate(near):
+        proof = False
+        for _, _, other in near:
             gone = shared(mine, other)
-            if 0 < len(gone) < 0.9 * len(mine) or k == len(near) - 1:
+            proof = 0 < len(gone) < 0.9 * len(mine)
+            if proof:
                 break
-        out.append(gone if len(gone) < len(mine) else [])
-    return pd.Series(out)
+        same = set(gone if len(gone) < len(mine) else [])
+        if any(article):
+            roles = [i for i, x in zip(places, article, strict=True) if x]
+            stay = [i for i, x in zip(places, article, strict=True) if i not in same or x and mine[i] not in often] if proof else roles
+            stay = stay if any(x and i in stay for i, x in zip(places, article, strict=True)) else roles
+        else:
+            roles = list(places)
+            stay = [i for i in places if i not in same]
+        out.append(None if stay == roles else stay)
+    return pd.Series(out, dtype=object)
 
 
 def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """``page_id, url, text`` of every row of ``pages``.
 
-    Pages are parsed once; what is settled stays where it is.  Only pages that
-    declare no article take part in the join with their neighbours, which moves
-    hashes of lines outside articles, never pages.  A host of any size is cut
-    into ranges of its paths.
+    Pages are parsed once, and each takes part in the join with its neighbours,
+    which moves hashes of lines, never pages.  Texts move only if the list of
+    pages that differencing changes is too long to broadcast.  A host of any
+    size is cut into ranges of its paths.
     """
     small_batches(pages.sparkSession)
     raw = pages.select(F.col(page).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(parsed, PARSED)
     held = materialize(raw.withColumn("_id", F.monotonically_increasing_id()), "pages")
-    order, _ = ranked(held.select("_id", "host", "path", "url", "page_id", "around", F.col("body").isNull().alias("due")), ["host", "path", "url", "page_id"], "_rank")
+    order, _ = ranked(held.select("_id", "host", "path", "url", "page_id", "around", "at", "own"), ["host", "path", "url", "page_id"], "_rank")
+    mine = F.array_distinct(F.transform(F.filter(F.arrays_zip("at", "own"), lambda x: x["own"]), lambda x: F.get("around", x["at"])))
+    often = order.select("host", F.explode(mine).alias("h")).groupBy("host", "h").agg(F.count("*").alias("n")).where("n >= 3")
+    sizes = order.groupBy("host").agg(F.count("*").alias("pages"))
+    common = materialize(often.join(sizes, "host").where("2 * n >= pages").groupBy("host").agg(F.collect_list("h").alias("common")), "common")
     step = lambda by: order.select((F.col("_rank") + by).alias("_rank"), F.col("host").alias(f"h{by + 1}"), F.col("path").alias(f"p{by + 1}"), F.col("around").alias(f"x{by + 1}"))
-    due = order.where("due").join(step(1), "_rank", "left").join(step(-1), "_rank", "left")
     side = lambda k, c: F.when(F.col(f"h{k}") == F.col("host"), F.col(f"{c}{k}"))
-    gone = due.select("_id", F.pandas_udf(deleted, "array<int>")("path", "around", side(2, "x"), F.coalesce(side(2, "p"), F.lit("")), side(0, "x"), F.coalesce(side(0, "p"), F.lit(""))).alias("_gone"))
-    rest = held.where("body IS NULL").join(gone, "_id", "left")
-    kept = F.filter(F.arrays_zip("open", "at"), lambda x: ~F.coalesce(F.array_contains(F.col("_gone"), x["at"]), F.lit(False)))
-    rest = rest.select("page_id", "url", F.array_join(F.transform(kept, lambda x: x["open"]), "\n").alias("text"))
-    return held.where("body IS NOT NULL").select("page_id", "url", F.col("body").alias("text")).unionByName(rest)
+    near = order.join(step(1), "_rank", "left").join(step(-1), "_rank", "left").join(common, "host", "left")
+    stay = F.pandas_udf(kept, "array<int>").asNondeterministic()("path", "around", "at", "own", "common", side(2, "x"), F.coalesce(side(2, "p"), F.lit("")), side(0, "x"), F.coalesce(side(0, "p"), F.lit("")))
+    # Not deterministic: a filter pushed below would run it twice.
+    changed = materialize(near.select("_id", stay.alias("_stay")).where("_stay IS NOT NULL"), "changed")
+    roles = F.when(F.exists("own", lambda x: x), F.col("own")).otherwise(F.transform("own", lambda _: F.lit(True)))
+    left = F.filter(F.arrays_zip("lines", "at", roles.alias("role")), lambda x: F.coalesce(F.array_contains(F.col("_stay"), x["at"]), x["role"]))
+    return held.join(changed, "_id", "left").select("page_id", "url", F.array_join(F.transform(left, lambda x: x["lines"]), "\n").alias("text"))

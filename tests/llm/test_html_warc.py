@@ -79,6 +79,14 @@ def test_differencing_removes_what_neighbours_share(spark):
     assert html.main_text(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def test_pages_with_articles_take_part_in_differencing(spark):
+    page = "<p>Logo</p><p>Welcome</p><article><p>By the desk</p>{}<p>Share this story</p></article>{}"
+    rows = [(i, f"http://h.example/a/{i}", page.format(f"<p>story {i}</p><p>more of {i}</p><p>as they say</p>" if i < 2 else f"<p>story {i}</p><p>more of {i}</p>", f"<p>postscript {i}</p>" if i == 3 else "")) for i in range(6)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, PAGE)).collect()}
+    for i in range(6):  # what two of six pages have is text, what all have is not
+        assert got[i] == f"story {i}\nmore of {i}" + ("\nas they say" if i < 2 else "") + ("\npostscript 3" if i == 3 else "")
+
+
 def test_copies_prove_nothing(spark):
     story = SITE.format("".join(f"<p>line {i}</p>" for i in range(20)))
     rows = [(1, "http://h.example/a/1", story), (2, "http://h.example/a/1?page=2", story), (3, "http://h.example/z", SITE.format("<p>something else</p>"))]
