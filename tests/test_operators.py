@@ -166,3 +166,10 @@ def test_normalized_source_passes_its_gate(spark):
     assert rows["S2-1"].name_core == "a and b" and rows["S2-1"].address_missing == 1 and rows[""].address_normalized == "1 main st" and rows[""].name_length == 0
     with pytest.raises(ValueError):
         validation.require_passed(validation.check_normalized(out), "source")
+
+
+def test_production_training_has_the_rounds_of_the_reference():
+    from kinlink.config import PRODUCTION, Training
+
+    assert (PRODUCTION.rounds, PRODUCTION.rate, PRODUCTION.min_leaf) == (1200, 0.04, 100) and PRODUCTION.early_stop > 0
+    assert Training().rounds == 20
