@@ -16,9 +16,18 @@ Inside a group, links to the least member of a band are checked first; where
 they leave a group in parts, the parts are searched as groups of their own.
 So a group of near copies of any size costs a check a member, not a pair.
 
+Exactness: two nodes under different labels are searched by the matrix.  Two
+under one label hang on it by the same edges up; if all these pass the exact
+check they are one component, and if they fall into several parts, however far
+below the label the failing edge stands, the label's nodes are searched again,
+part against part.
+
 Null texts and texts without words have the empty set and no links; null ids
 take no part and have no component.  Rows that repeat an id are reached
-together.
+together, whether their texts are equal or not; an empty table has an empty
+result.  Texts of any length are hashed whole, a chunk at a time.  Ties (equal
+sets) are one node, named by the least id.  Columns beside the id and the text
+never meet the operator's own names.
 """
 
 from __future__ import annotations
@@ -32,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .graph import components
+from .graph import components, join_back
 from .shared import materialize, small_batches
 from .shingles import mix, shingle_set
 
@@ -49,6 +58,11 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _sum(mixed: np.ndarray) -> np.int64:
+    """One half of a set's identity."""
+    return np.sum(mixed, dtype=np.uint64).view(np.int64)
+
+
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[dict]:
     """A few rows at a time, so that a batch's texts never stand in memory twice."""
     for batch in batches:
@@ -72,7 +86,7 @@ def _sketches(k: int):
                 s = shingle_set(text, k)
                 mixed = mix(s * _SEEDS[1])
                 n.append(len(s))
-                s1.append(np.sum(mixed, dtype=np.uint64).view(np.int64))
+                s1.append(_sum(mixed))
                 s2.append(np.bitwise_xor.reduce(mixed).view(np.int64) if len(s) else 0)
                 if len(s):
                     at = np.searchsorted(s, _RANGES)
@@ -105,18 +119,22 @@ def _lead(n: int) -> int:
 
 def _leading(k: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's leading tokens in order, of which the last ``late`` are frequent ones."""
         common = frequent.value
         for part in _slices(batches):
-            ids, tokens = [], []
+            ids, sizes, sums, tokens, frequents = [], [], [], [], []
             for doc, text in zip(part["doc_id"], part["text"], strict=True):
                 s = shingle_set(text, k)
                 if len(s):
-                    if len(common):
-                        late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
-                        s = np.concatenate([s[~late], s[late]])
                     ids.append(doc)
-                    tokens.append(_signed(s[: _lead(len(s))]))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+                    sizes.append(len(s))
+                    sums.append(_sum(mix(s * _SEEDS[1])))
+                    late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s if len(common) else np.zeros(len(s), dtype=bool)
+                    lead = _lead(len(s))
+                    tokens.append(_signed(np.concatenate([s[~late], s[late]])[:lead]))
+                    frequents.append(max(0, lead - int(len(s) - late.sum())))
+            ints = [pa.array(x, pa.int64()) for x in (ids, sizes, sums)]
+            yield pa.record_batch([*ints, pa.array(frequents, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "n", "s1", "late", "tokens"])
 
     return run
 
@@ -161,8 +179,8 @@ def _opened(tokens: DataFrame) -> DataFrame:
     tokens = tokens.withColumns(
         {"k": spare, "bin": F.floor(F.log(F.col("n")) / math.log(1.06)).cast("int"), "rest": F.expr(f"n - least(n, n - (4 * n + 4) div 5 + {_SPARE})")}
     )
-    split = tokens.groupBy(*key).agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b").select(*key)
-    rows = materialize(tokens.join(split, key), "matrix")
+    split = tokens.groupBy(*key).agg(F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_c")).where("_a <> _b").select(*key, "_c")
+    rows = materialize(join_back(tokens, split, key, tokens.count()), "matrix")
 
     small = rows.where("pos < n - (8 * n + 8) div 9 + k")
     able = small.groupBy("within", "node", "n").agg(F.count("*").alias("_c"), F.max("k").alias("_k")).where("_c >= _k").select("within", "node", "n")
@@ -188,7 +206,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     """``doc_id, n_shingles, component_id`` of every row: the least id reachable by links of 80 % or more."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"))
     found = materialize(rows.mapInArrow(_sketches(k), _SKETCH), "sketches")
     top = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(FREQUENT)
     frequent = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in top.select("token").collect()], dtype=np.int64).view(np.uint64)))
@@ -197,11 +215,17 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     key = ["n", "s1", "s2"]
     live = sketches.where("n > 0 AND doc_id IS NOT NULL")
     nodes = materialize(live.groupBy(*key).agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "nodes")
+    # The node of every row; and, only where ids repeat, what that calls for.
+    of_row = materialize(sketches.drop("bands", "token", "seen").join(nodes.select(*key, "node"), key, "left").select("doc_id", "n", "s1", "node"), "rows")
+    repeated = not of_row.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty()
+    rows = rows.where("doc_id IS NOT NULL")
+    if repeated:
+        rows = rows.dropDuplicates(["doc_id", "text"])
 
     # Groups: a node hangs on the least node with which it has a band in common.
     band = nodes.select("node", F.posexplode("bands").alias("i", "value"))
-    least = band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("c")).where("c > 1").drop("c")
-    up = materialize(band.join(least, ["i", "value"]).groupBy("node").agg(F.min("up").alias("up")).where("up < node"), "up")
+    least = band.groupBy("i", "value").agg(F.min("node").alias("up"), F.count("*").alias("_c")).where("_c > 1")
+    up = materialize(join_back(band, least, ["i", "value"], nodes.count() * BANDS).groupBy("node").agg(F.min("up").alias("up")).where("up < node"), "up")
     star = up.select(F.col("up").alias("x"), F.col("node").alias("y"))
 
     def climb(edges: DataFrame) -> DataFrame:
@@ -211,16 +235,19 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
             out = out.join(edges.select(F.col("node").alias("label"), F.col("up").alias("_next")), "label", "left").select("node", F.coalesce("_next", "label").alias("label"))
         return out
 
-    of = nodes.select("node", "n").groupBy("node").agg(F.max("n").alias("n")).join(climb(up), "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
+    of = nodes.select("node").distinct().join(climb(up), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     of = materialize(of, "labels")
 
-    # The leading tokens that two documents or more have; then those of nodes, with their groups.
-    tokens = rows.where("doc_id IS NOT NULL").mapInArrow(_leading(k, frequent), "doc_id long, tokens array<long>").select(F.posexplode("tokens").alias("pos", "token"), "doc_id")
+    # Leading tokens, a row a node: copies go before anything is exploded.  Frequent tokens have partners in any case; of the others only those that two nodes have are kept.
+    copies = of_row.where("doc_id <> node").select("doc_id", "n", "s1")
+    tokens = rows.mapInArrow(_leading(k, frequent), "doc_id long, n long, s1 long, late int, tokens array<long>").join(copies, ["doc_id", "n", "s1"], "left_anti")
+    tokens = tokens.select(F.col("doc_id").alias("node"), "n", (F.size("tokens") - F.col("late")).alias("plain"), F.posexplode("tokens").alias("pos", "token"))
     every = Window.partitionBy("token")
-    met = tokens.withColumn("_a", F.min("doc_id").over(every)).withColumn("_b", F.max("doc_id").over(every)).where("_a <> _b").select("token", "pos", F.col("doc_id").alias("node"))
+    rare = tokens.where("pos < plain").withColumn("_a", F.min("node").over(every)).withColumn("_b", F.max("node").over(every)).where("_a <> _b")
+    met = rare.select("token", "pos", "node", "n").unionByName(tokens.where("pos >= plain").select("token", "pos", "node", "n"))
     # A node with a partner has k such tokens at least, k of the smallest partner it can have; so few have them that this stands before every other join.
     least = _SPARE.replace("n", "((4 * n + 4) div 5)")
-    led = met.join(of, "node").withColumn("_c", F.count("*").over(Window.partitionBy("node"))).where(f"_c >= {least}")
+    led = met.withColumn("_c", F.count("*").over(Window.partitionBy("node", "n"))).where(f"_c >= {least}").join(of, "node")
     led = materialize(led.select("token", "pos", "node", "n", "label"), "tokens")
     pairs = materialize(star.unionByName(_opened(led.withColumn("within", F.lit(0)))).distinct(), "pairs")
 
@@ -228,28 +255,49 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     active = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
     texts = materialize(rows.withColumnRenamed("doc_id", "node").join(active.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"]), "texts")
     first = _verified(pairs, texts, k, "checked")
-    links = first.where("ok").select("x", "y")
+    links = first.where("ok").select("x", "y").distinct()
 
-    # Groups that the checks leave in parts: the parts are groups of their own.
+    # Groups that the checks leave in parts: the parts are groups of their own.  A failing edge anywhere below a label tears it, so labels are told by their parts.
     sound = up.join(links.select(F.col("x").alias("up"), F.col("y").alias("node")), ["up", "node"], "left_semi")
-    part = climb(sound).withColumnRenamed("label", "part")
-    torn = up.join(sound, ["node", "up"], "left_anti").join(of, "node").select(F.col("label").alias("within")).distinct()
+    part = materialize(of.join(climb(sound).withColumnRenamed("label", "part"), "node", "left").select("node", F.col("label").alias("within"), F.coalesce("part", "node").alias("part")), "parts")
+    torn = part.groupBy("within").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).where("_a <> _b").select("within")
     # A label may be hot: its rows are salted for the join.
     torn = torn.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(31))))
     salted = led.withColumnRenamed("label", "within").withColumn("_salt", F.pmod(F.xxhash64("node", "token"), F.lit(32)).cast("int"))
-    parts = salted.join(torn, ["within", "_salt"], "left_semi").drop("_salt").join(part, "node", "left").withColumn("label", F.coalesce("part", "node")).drop("part")
+    parts = salted.join(torn, ["within", "_salt"], "left_semi").drop("_salt").join(part.select("node", F.col("part").alias("label")), "node")
     parts = materialize(parts, "tokens")
     more = materialize(_opened(parts).join(first.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
     links = links.unionByName(_verified(more, texts, k, "checked").where("ok").select("x", "y"))
+    if repeated:
+        several = of_row.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("_b")).where("x <> _b").drop("_b")
+        links = links.unionByName(of_row.where("node IS NOT NULL").join(several, "doc_id").select("x", F.col("node").alias("y")))
 
-    roots = components(links)
-    out = sketches.join(nodes.select(*key, "node"), key, "left").join(roots, "node", "left")
+    out = of_row.join(components(links), "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", F.when(F.col("n") > 0, F.col("node")), "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    if not repeated:
+        return out
+    # Rows of an id without words go with its other rows.
+    least = out.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("_least"))
+    return out.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.col("_least").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
-    """One row of each class of linked documents, the least id's, with the columns of ``docs``; rows without words or id all stay."""
-    away = link_classes(docs, doc_id, text, k).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = docs.join(away, docs[doc_id] == F.col("_gone"), "left_anti")
-    return rows
+    """One row of each class of linked documents with its own columns, whatever their names: the least id's, a null id last.
+
+    Rows without words all stay.  Where ids are null or repeat, rows are
+    numbered and written first, so that rows equal in id and text are copies
+    like any others, and of their class, too, one row stays.
+    """
+    ids = docs.select(docs[doc_id].cast("long").alias("doc_id"))
+    row = F.struct(*[docs[c].alias(c) for c in docs.columns]).alias("_row")
+    if ids.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        gone = link_classes(docs, doc_id, text, k).where("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
+        return docs.select(row).join(gone, F.col(f"_row.`{doc_id}`").cast("long") == F.col("_gone"), "left_anti").select("_row.*")
+    rows = materialize(docs.select(row, F.monotonically_increasing_id().alias("_id")), "numbered")
+    classes = link_classes(rows.select("_id", F.col(f"_row.`{text}`").alias("text")), "_id", "text", k).where("n_shingles > 0").select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_class"))
+    order = F.struct(F.col(f"_row.`{doc_id}`").cast("long").isNull().alias("none"), F.col(f"_row.`{doc_id}`").cast("long").alias("id"), F.col("_id").alias("at"))
+    ranked = materialize(rows.select("_id", order.alias("_at")).join(classes, "_id"), "classes")
+    first = ranked.groupBy("_class").agg(F.min("_at").alias("_at")).select(F.col("_at.at").alias("_id"))
+    gone = ranked.select("_id").join(first, "_id", "left_anti")
+    return rows.join(gone, "_id", "left_anti").select("_row.*")

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kinlink.llm import graph, jaccard, shingles
 
@@ -88,8 +89,54 @@ def test_edges_of_the_contract(spark):
     got = sorted(map(tuple, jaccard.link_classes(df).collect()), key=str)
     assert got == sorted([(5, 100, 5), (9, 100, 5), (None, 100, None), (None, 0, None), (7, 0, 7), (7, 1, 7), (7, 1, 7)], key=str)
     kept = jaccard.keep_one(df)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [5, 7, 7, 7]
-    assert jaccard.link_classes(df.limit(0)).count() == 0
+    assert kept.columns == df.columns and sorted(((str(r.doc_id), r.text) for r in kept.collect()), key=str) == sorted([("5", " ".join(a)), ("None", None), ("7", None), ("7", "only once")], key=str)
+    assert jaccard.link_classes(df.limit(0)).count() == jaccard.keep_one(df.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_reached_together(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(104)) for x in "abc")
+    rows = [(3, a), (8, a), (8, b), (8, None), (9, b + " z"), (9, b + " z"), (20, c), (20, c)]
+    got = sorted(map(tuple, jaccard.link_classes(spark.createDataFrame(rows, DOC)).collect()))
+    assert got == brute(rows) and {r[2] for r in got} == {3, 20}
+    kept = jaccard.keep_one(spark.createDataFrame(rows, DOC).withColumn("_gone", F.lit(1)).withColumn("_id", F.lit(2)).withColumn("n", F.lit(3)))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, a), (8, b), (8, None), (20, c)], key=str)
+
+
+def test_clashing_names_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], DOC).withColumn("_gone", F.lit(1)).withColumn("_row", F.lit(2)).withColumn("component_id", F.lit(3)).withColumn("node", F.lit(4))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def drifting(seed, families, words, size=7):
+    """Families of revisions, each one step from an earlier one of its family, their ids in any order."""
+    pick, out = random.Random(seed), []
+    for f in range(families):
+        family, ids = [[f"f{f}w{i}" for i in range(words)]], [len(out) + i for i in range(size)]
+        while len(family) < size:
+            copy = list(pick.choice(family[-2:]))
+            for _ in range(max(1, words // 60)):
+                copy[pick.randrange(words)] = f"f{f}e{pick.randrange(10**6)}"
+            family.append(copy)
+        pick.shuffle(ids)
+        out += [(i, " ".join(w)) for i, w in zip(ids, family, strict=True)]
+    return out
+
+
+def test_drifting_families_match_all_pairs(spark):
+    """Up-chains deeper than three steps, with edges that fail at any step: links under one label that hang on different parts."""
+    rows = drifting(5, 1500, 60) + [(i + 10**6, t) for i, t in drifting(6, 250, 60, 25)] + [(i + 2 * 10**6, t) for i, t in drifting(7, 120, 400)]
+    got = jaccard.link_classes(spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+
+
+def test_hot_keys_are_joined_by_broadcast_alike(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 100, i) for i in range(900)], "u long, v long")
+    sums = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_c"))
+    want = sorted(map(tuple, rows.join(sums.drop("_c"), "u").collect()))
+    for share in (1, 3, 512):
+        monkeypatch.setattr(graph, "SHARE", share)
+        assert sorted(map(tuple, graph.join_back(rows, sums, ["u"], 900).collect())) == want
 
 
 def test_query_matches_all_pairs_on_the_small_table(spark):
@@ -117,3 +164,5 @@ def test_long_chains_contract(spark):
     got = dict(map(tuple, graph.components(spark.createDataFrame(pairs, "x long, y long")).collect()))
     assert got == {i: 0 for i in range(1, 61)} | {101: 100, 103: 100}
     assert graph.components(spark.createDataFrame([], "x long, y long")).count() == 0
+    loose = graph.components(spark.createDataFrame([(None, 3), (4, None), (5, 5), (6, 7), (6, 7), (7, 6)], "x long, y long"))
+    assert [tuple(r) for r in loose.collect()] == [(7, 6)]
