@@ -1,20 +1,33 @@
 """Language-model scores by a hashed maximum-entropy model with a class-factored softmax.
 
-The most frequent tokens are units in classes of 32; a token's probability is
-that of its class times that of the unit within the class, each a softmax over
-hashed features of the context: the last token, the last two, and skips to the
-second and the third last.  Class 0 is all other tokens together, shared out by
-their smoothed training counts, so that every text has a proper probability.
-Biases are the training counts; what the features add is trained by gradient
-updates: each input task runs through its own training texts in batches, and
-the tasks' weights are averaged by how often each was visited.
-
+The most frequent tokens stand in nested classes, eight to a class: a tree with
+eight branches a node, built from the training counts so that all branches of a
+node are about equally likely (Huffman's rule).  A token's probability is the
+product of a softmax over the eight branches at each class on its way, and each
+softmax sees hashed features of the context: the last token, the last two, and
+skips to the second and the third last.  One leaf stands for all tokens outside
+the tree, shared out by their smoothed training counts, so that every text has
+a proper probability.
+
+Biases are the logarithms of the counts in each branch.  What the features add
+is trained in ``ROUNDS`` synchronous rounds: each document belongs to one round
+by its hash; in a round all tasks compute the gradient of their texts at the
+same weights, the gradients are summed, and the driver takes one step, scaled
+by how often each weight row was met.  A sum doesn't depend on how texts lie in
+partitions, so neither do the weights (but for the order of additions).
+
+Sizes grow with the square root of the training tokens T: the tree holds the
+most frequent tokens, at most 2^ceil(log2(16 sqrt(T))), and four times as many
+rows of eight weights are hashed into.  So does a training task's share of the
+input, which keeps the gradients that are sent in proportion to the input.
 Counts cover all training texts: per token, by its 64-bit hash, in a shuffled
-table.  Only fixed-size tables are broadcast: the counts of the ``HEAD`` most
-frequent tokens and the weights.  Other tokens get their counts by a join.
+table; tokens outside the tree get theirs by a join.
 
 Null and empty texts have one token, the end.  A null id counts as the text "".
-Without training texts every token has base probability 1.
+Without training texts every token has base probability 1; an empty table has an
+empty result.  Repeated rows train and are scored as often as they stand; texts
+of any length are scored whole; tokens that tie at the last count the tree could
+hold are all outside it.  Other columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,171 +43,169 @@ from pyspark.sql import functions as F
 from .shared import materialize, small_batches
 from .shingles import word_hashes
 
-HEAD = 1 << 17
-#: Classes, units in each, rows of the weight tables (as a power of two), tokens in a batch of updates.
-CLASSES, UNITS, BITS, BATCH = 32, 32, 15, 16384
-SLOTS = 1 << 19
+#: Branches of a class; rounds of training; rows of weights a message holds; tokens of a training task, as a multiple of sqrt(T).
+WAYS, ROUNDS, CHUNK, SHARE = 8, 5, 1 << 14, 1800
+#: Tokens in a numpy batch of training, and of scoring.
+LEARNED, BATCH = 1 << 18, 1 << 15
+#: A step is the gradient over CURVE * visits + RIDGE, with visits of all rounds so far, and no larger than MOST.
+CURVE, RIDGE, MOST = 0.3, 8.0, 2.0
 #: Stands for the end of a text; no word is expected to hash to it.
 END = np.uint64(0x5BD1E9955BD1E995)
-START, CONTEXTS = 1024, 7168
+#: Stands for what is before a text.
+START = np.uint64(0x2545F4914F6CDD1D)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
+def size_for(total: int) -> int:
+    """Tokens in the tree at most, for so many training tokens; of weights there are four times as many rows."""
+    return 1 << max(12, math.ceil(math.log2(16 * math.sqrt(max(total, 1)))))
+
+
+def tasks_for(total: int) -> int:
+    """Training tasks of a round."""
+    return max(1, math.ceil(math.sqrt(total) / SHARE))
+
+
 def tokens(text: str | None) -> np.ndarray:
     """The hashes of a text's words and its end."""
     return np.append(word_hashes(text), END) if text else np.array([END], dtype=np.uint64)
 
 
+def tree(masses: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``parent, branch`` of every leaf (in the order of ``masses``, descending), then of every class, the root last; and each class's log masses by branch.
+
+    The lightest eight stand together, again and again: the least number of
+    softmaxes a token.  The first class takes what makes all others full.
+    """
+    n = len(masses)
+    first, inner = (n - 2) % (WAYS - 1) + 2, max(1, math.ceil((n - 1) / (WAYS - 1)))
+    first = min(first, n)
+    mass = np.concatenate([masses, np.zeros(inner)])
+    parent, branch = np.full(n + inner, -1, dtype=np.int32), np.zeros(n + inner, dtype=np.int8)
+    bias = np.full((inner, WAYS), -np.inf, dtype=np.float32)
+    light, made = n - 1, n
+    for k in range(inner):
+        me = n + k
+        for j in range(first if k == 0 else WAYS):
+            if light >= 0 and (made == me or masses[light] <= mass[made]):
+                take, light = light, light - 1
+            else:
+                take, made = made, made + 1
+            parent[take], branch[take] = k, j
+            bias[k, j] = math.log(mass[take]) if mass[take] > 0 else -np.inf
+            mass[me] += mass[take]
+    return parent, branch, bias
+
+
 class Head:
-    """An open-addressing table of the most frequent tokens: count and unit (0: none) by hash."""
+    """The tokens in the tree: an open-addressing table from hash to rank, their counts, and the tree.  Leaf 0 is all other tokens."""
 
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        self.total, self.distinct = total, distinct
-        self.keys, self.counts, self.units = np.zeros(SLOTS, dtype=np.uint64), np.zeros(SLOTS, dtype=np.float64), np.zeros(SLOTS, dtype=np.int16)
-        self.n_units = min(len(hashes), (CLASSES - 1) * UNITS)
-        at, left = (hashes & np.uint64(SLOTS - 1)).astype(np.int64), np.arange(len(hashes))
+        n = len(hashes)
+        self.total, self.distinct, self.counts = total, distinct, counts.astype(np.float64)
+        self.slots = 1 << max(4, (4 * n).bit_length())
+        self.keys, self.ranks = np.zeros(self.slots, dtype=np.uint64), np.zeros(self.slots, dtype=np.int32)
+        at, left = (hashes & np.uint64(self.slots - 1)).astype(np.int64), np.arange(n)
         while len(left):  # each round, the first of those that want a free slot gets it
             free = self.keys[at[left]] == 0
             slot, who = np.unique(at[left[free]], return_index=True)
             won = left[free][who]
-            self.keys[slot], self.counts[slot] = hashes[won], counts[won]
-            self.units[slot] = np.where(won < self.n_units, won + UNITS, 0)
+            self.keys[slot], self.ranks[slot] = hashes[won], won
             left = np.setdiff1d(left, won, assume_unique=True)
-            at[left] = np.where(self.keys[at[left]] != 0, (at[left] + 1) % SLOTS, at[left])
-        units = counts[: self.n_units].astype(np.float64)
-        self.rest = total - units.sum() + 0.5 * (distinct - self.n_units + 1)
-        within = np.full((CLASSES, UNITS), -np.inf)
-        within.reshape(-1)[UNITS : UNITS + self.n_units] = np.log(units + 0.5)
-        within[0, 0] = math.log(self.rest)
-        top = within.max(axis=1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            mass = np.where(np.isfinite(top), top + np.log(np.exp(within - np.where(np.isfinite(top), top, 0)[:, None]).sum(axis=1)), -np.inf)
-        self.b1 = np.maximum(mass - mass.max(), -60).astype(np.float32)
-        self.b2 = np.maximum(within - np.where(np.isfinite(top), top, 0)[:, None], -60).astype(np.float32)
-        # Impossible choices are exact zeros.
-        self.b1[~np.isfinite(mass)] = -np.inf
-        self.b2[~np.isfinite(within)] = -np.inf
+            at[left] = np.where(self.keys[at[left]] != 0, (at[left] + 1) % self.slots, at[left])
+        self.rest = total - self.counts.sum() + 0.5 * (distinct - n + 1)
+        masses = np.concatenate([[self.rest], self.counts + 0.5])
+        order = np.argsort(-masses, kind="stable")
+        parent, branch, self.bias = tree(masses[order])
+        self.root = len(self.bias) - 1
+        place = np.argsort(order, kind="stable")
+        self.leaves = len(parent) - len(self.bias)
+        self.parent, self.branch = np.concatenate([parent[place], parent[self.leaves :]]), np.concatenate([branch[place], branch[self.leaves :]])
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """The slot of each hash; -1 for those that aren't in the table."""
-        at = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        """The rank of each hash; -1 for those that aren't in the table."""
+        at = (h & np.uint64(self.slots - 1)).astype(np.int64)
         key = self.keys[at]
-        out = np.where(key == h, at, -1)
+        out = np.where(key == h, self.ranks[at], -1)
         open_ = np.flatnonzero((key != h) & (key != 0))
         while len(open_):
-            at[open_] = (at[open_] + 1) % SLOTS
+            at[open_] = (at[open_] + 1) % self.slots
             key = self.keys[at[open_]]
-            out[open_[key == h[open_]]] = at[open_[key == h[open_]]]
+            out[open_[key == h[open_]]] = self.ranks[at[open_[key == h[open_]]]]
             open_ = open_[(key != h[open_]) & (key != 0)]
         return out
 
 
 class Model:
-    def __init__(self, head: Head, w1: np.ndarray | None = None, w2: np.ndarray | None = None):
+    def __init__(self, head: Head, w: np.ndarray | None = None):
         self.head = head
-        self.w1 = np.zeros((1 << BITS, CLASSES), dtype=np.float32) if w1 is None else w1
-        self.w2 = np.zeros((1 << BITS, UNITS), dtype=np.float32) if w2 is None else w2
-
-    def contexts(self, h: np.ndarray, units: np.ndarray) -> np.ndarray:
-        """What a token is to those after it: its unit, or one of some thousand hashed kinds."""
-        return np.where(units > 0, units, START + 1 + (h >> np.uint64(20)) % np.uint64(CONTEXTS)).astype(np.uint64)
+        self.w = np.zeros((4 * size_for(head.total), WAYS), dtype=np.float32) if w is None else w
+        self.shift = np.uint64(64 - (len(self.w).bit_length() - 1))
 
     @staticmethod
-    def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray | None = None) -> list[np.ndarray]:
-        found = [c1 * _ODD[0], (c1 * _ODD[1] + c2 + np.uint64(1)) * _ODD[0], (c2 + np.uint64(1 << 20)) * _ODD[2]]
-        return found if c3 is None else [*found, (c3 + np.uint64(1 << 21)) * _ODD[3]]
-
-    @staticmethod
-    def rows(feature: np.ndarray, by: np.ndarray | None = None) -> np.ndarray:
-        x = feature if by is None else (feature ^ (by.astype(np.uint64) + np.uint64(1)) * _ODD[4]) * _ODD[0]
-        x = (x ^ (x >> np.uint64(29))) * _ODD[1]
-        return (x >> np.uint64(64 - BITS)).astype(np.uint16)
-
-    def forward(self, units: np.ndarray, features: list[np.ndarray]) -> tuple:
-        """Log probability of each token's class, and of its unit within it; with what updates need."""
-        cls, unit = units // UNITS, units % UNITS
-        r1 = [self.rows(f) for f in features]
-        z1, logp, p1 = self._softmax(self.head.b1, self.w1, r1, cls)
-        inner = np.flatnonzero(cls > 0)
-        c = cls[inner]
-        r2 = [self.rows(f[inner], c) for f in features]
-        z2, logq, p2 = self._softmax(self.head.b2[c], self.w2, r2, unit[inner])
-        total = logp.astype(np.float64)
-        total[inner] += logq
-        return total, (r1, p1, cls), (r2, p2, unit[inner])
-
-    @staticmethod
-    def _softmax(bias: np.ndarray, w: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> tuple:
-        z = w[rows[0]] + bias
-        for r in rows[1:]:
-            z += w[r]
-        z -= z.max(axis=1, keepdims=True) if len(z) else 0
-        mine = z[np.arange(len(z)), target]
-        p = np.exp(z)
-        total = p.sum(axis=1)
-        p /= total[:, None]
-        return z, mine - np.log(total), p
-
-
-def _update(w: np.ndarray, squares: np.ndarray, visits: np.ndarray, rows: list[np.ndarray], p: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One adaptive gradient step on a batch; ``squares`` is a column a choice, and so are the sums of gradients."""
-    p[np.arange(len(p)), target] -= 1
-    at = np.concatenate(rows).astype(np.int64)
-    visits += np.bincount(at, minlength=len(w))
-    columns = np.tile(np.ascontiguousarray(p.T, dtype=np.float64), len(rows))
-    step = np.empty_like(squares)
-    for j, column in enumerate(columns):
-        step[j] = np.bincount(at, column, len(w))
-    squares += step * step
-    step *= rate
-    step /= np.sqrt(squares)
-    w -= step.T
-
-
-def _sequences(texts, head: Head, model: Model) -> tuple:
-    """Units and contexts of all tokens of some texts, and the number of tokens of each."""
+    def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> list[np.ndarray]:
+        """Hashes of the last token, the last two, and the second and the third last."""
+        return [c1 * _ODD[0], (c1 * _ODD[1] + c2) * _ODD[0] + np.uint64(1), c2 * _ODD[2] + np.uint64(2), c3 * _ODD[3] + np.uint64(3)]
+
+    def walk(self, ranks: np.ndarray, features: list[np.ndarray]) -> Iterator[tuple]:
+        """Per level, from the leaves up: which tokens, the weight rows of each feature, each token's branch, and the log probabilities and probabilities of the branches."""
+        at, node = np.arange(len(ranks)), ranks + 1
+        top = self.head.leaves + self.head.root
+        while len(at):
+            cls, branch = self.head.parent[node], self.head.branch[node]
+            of = (cls.astype(np.uint64) + np.uint64(1)) * _ODD[4]
+            rows = []
+            for f in features:
+                x = (f[at] ^ of) * _ODD[0]
+                rows.append((((x ^ (x >> np.uint64(29))) * _ODD[1]) >> self.shift).astype(np.int32))
+            z = self.head.bias[cls]
+            for r in rows:
+                z += self.w[r]
+            z -= z.max(axis=1, keepdims=True)
+            p = np.exp(z)
+            total = p.sum(axis=1)
+            mine = z[np.arange(len(z)), branch] - np.log(total)
+            p /= total[:, None]
+            yield at, rows, branch, mine, p
+            node = self.head.leaves + cls
+            go = node != top
+            at, node = at[go], node[go]
+
+    def log10(self, ranks: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(ranks))
+        for at, _, _, mine, _ in self.walk(ranks, features):
+            out[at] += mine
+        return out / math.log(10)
+
+    def gradient(self, ranks: np.ndarray, features: list[np.ndarray], into: np.ndarray, visits: np.ndarray) -> None:
+        """Adds what these tokens say to the gradient and the number of visits of each row."""
+        for _, rows, branch, _, p in self.walk(ranks, features):
+            np.negative(p, out=p)
+            p[np.arange(len(p)), branch] += 1
+            every = np.concatenate(rows)
+            visits += np.bincount(every, minlength=len(visits))
+            for j in range(WAYS):
+                into[j] += np.bincount(every, np.tile(p[:, j], len(rows)), len(visits))
+
+
+def sequences(texts, head: Head) -> tuple:
+    """Hashes and ranks of all tokens of some texts, their features, the number of tokens of each text and where each starts."""
     hashes = [tokens(t) for t in texts]
     sizes = np.array([len(h) for h in hashes])
     h = np.concatenate(hashes)
-    slots = head.find(h)
-    units = np.where(slots >= 0, head.units[slots], 0).astype(np.int64)
-    kinds = model.contexts(h, units)
     starts = np.cumsum(sizes) - sizes
     place = np.arange(len(h)) - np.repeat(starts, sizes)
 
     def back(k: int) -> np.ndarray:
         out = np.full(len(h), START, dtype=np.uint64)
-        out[k:] = kinds[:-k] if k else kinds
+        out[k:] = h[:-k]
         out[place < k] = START
         return out
 
-    return h, slots, units, (back(1), back(2), back(3)), sizes, starts
-
+    return h, head.find(h), Model.features(back(1), back(2), back(3)), sizes, starts
 
-def _learn(held, rate: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, w1, w2 = held.value
-        model = Model(head, w1.copy(), w2.copy())
-        squares = [np.full(w.T.shape, 25.0, dtype=np.float32) for w in (model.w1, model.w2)]
-        visits = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
-        for batch in batches:
-            for part in _groups(batch["text"]):
-                _, _, units, contexts, _, _ = _sequences(part, head, model)
-                for at in range(0, len(units), BATCH):
-                    u = units[at : at + BATCH]
-                    _, (r1, p1, t1), (r2, p2, t2) = model.forward(u, model.features(*[c[at : at + BATCH] for c in contexts]))
-                    _update(model.w1, squares[0], visits[0], r1, p1, t1, rate)
-                    _update(model.w2, squares[1], visits[1], r2, p2, t2, rate)
-        for k, (new, seen) in enumerate(zip((model.w1, model.w2), visits, strict=True)):
-            for at in range(0, 1 << BITS, 4096):
-                some = at + np.flatnonzero(seen[at : at + 4096])
-                if len(some):
-                    yield pd.DataFrame({"k": k, "row": some, "visits": seen[some], "w": list(new[some])})
-
-    return run
 
-
-def _groups(texts: pd.Series, size: int = 60_000) -> Iterator[list]:
+def _groups(texts, size: int) -> Iterator[list]:
     out, held = [], 0
     for t in texts:
         out.append(t)
@@ -206,6 +217,45 @@ def _groups(texts: pd.Series, size: int = 60_000) -> Iterator[list]:
         yield out
 
 
+def gradients(texts, model: Model, into: np.ndarray, visits: np.ndarray) -> None:
+    """Adds the gradient (a row a branch) and the visits of some texts' tokens."""
+    for part in _groups(texts, LEARNED):
+        _, ranks, features, _, _ = sequences(part, model.head)
+        for i in range(0, len(ranks), LEARNED):
+            model.gradient(ranks[i : i + LEARNED], [f[i : i + LEARNED] for f in features], into, visits)
+
+
+def step(w: np.ndarray, gradient: np.ndarray, visits: np.ndarray, seen: np.ndarray) -> None:
+    """One update of the weights (or of some rows); ``seen`` gathers the visits of all rounds."""
+    seen += visits
+    w += np.clip(gradient / (CURVE * seen[:, None] + RIDGE), -MOST, MOST).astype(np.float32)
+
+
+MESSAGE = "chunk int, gradient binary, visits binary"
+
+
+def _learn(head_held, w_held):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """A task's sums, a row a chunk of the weights: the gradient a visit in half precision, and the visits."""
+        model = Model(head_held.value, w_held.value)
+        into, visits = np.zeros((WAYS, len(model.w)), dtype=np.float32), np.zeros(len(model.w), dtype=np.float32)
+        gradients((t for batch in batches for t in batch["text"]), model, into, visits)
+        for at in range(0, len(visits), CHUNK):
+            v = visits[at : at + CHUNK]
+            if v.any():
+                mean = (into[:, at : at + CHUNK] / np.maximum(v, 1)).astype(np.float16)
+                yield pd.DataFrame({"chunk": [at // CHUNK], "gradient": [mean.tobytes()], "visits": [v.tobytes()]})
+
+    return run
+
+
+def _summed(messages: pd.DataFrame) -> pd.DataFrame:
+    visits = [np.frombuffer(x, dtype=np.float32) for x in messages["visits"]]
+    means = [np.frombuffer(x, dtype=np.float16).reshape(WAYS, -1) for x in messages["gradient"]]
+    total = sum(m.astype(np.float64) * v for m, v in zip(means, visits, strict=True))
+    return pd.DataFrame({"chunk": messages["chunk"][:1], "gradient": [total.astype(np.float32).tobytes()], "visits": [np.sum(visits, axis=0, dtype=np.float64).astype(np.float32).tobytes()]})
+
+
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held, size = [], 0
 
@@ -227,24 +277,21 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, h array<long>, times array<int>"
 
 
-def _score(held):
+def _score(head_held, w_held):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head, w1, w2 = held.value
-        model = Model(head, w1, w2)
+        head, model = head_held.value, Model(head_held.value, w_held.value)
         base_rest, rest = math.log10(head.total + 0.5 * (head.distinct + 1)), math.log10(head.rest)
         for batch in batches:
             at = 0
-            for part in _groups(batch["text"]):
-                h, slots, units, contexts, sizes, starts = _sequences(part, head, model)
-                counts = np.where(slots >= 0, head.counts[slots], np.nan)
+            for part in _groups(batch["text"], 60_000):
+                h, ranks, features, sizes, starts = sequences(part, head)
                 logs = np.empty(len(h))
                 for i in range(0, len(h), BATCH):
-                    logs[i : i + BATCH] = model.forward(units[i : i + BATCH], model.features(*[c[i : i + BATCH] for c in contexts]))[0]
-                known = slots >= 0
-                share = np.log10(np.where(known, counts, 1.0) + 0.5)
-                # Tokens outside the table get the logarithm of their count in the join.
-                base = np.where(known, share, 0.0) - base_rest
-                score = logs / math.log(10) + np.where(units > 0, 0.0, np.where(known, share, 0.0) - rest)
+                    logs[i : i + BATCH] = model.log10(ranks[i : i + BATCH], [f[i : i + BATCH] for f in features])
+                known = ranks >= 0
+                # Tokens outside the tree get the logarithm of their count in the join.
+                base = np.where(known, np.log10(np.append(head.counts, 0.5)[ranks] + 0.5), 0.0) - base_rest
+                score = logs - np.where(known, 0.0, rest)
                 away = [np.unique(h[s : s + n][~known[s : s + n]], return_counts=True) for s, n in zip(starts, sizes, strict=True)]
                 rows = batch.iloc[at : at + len(part)]
                 at += len(part)
@@ -263,33 +310,46 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 1
 
 
-def fit(training: DataFrame, rounds: int = 1, rate: float = 0.3) -> tuple[DataFrame, Head, np.ndarray, np.ndarray]:
-    """Counts of all tokens of ``training`` (text) as a table (h, c), the head, and the averaged weights."""
+def _head(vocabulary: DataFrame) -> Head:
+    """The tree over the tokens above the least count at which they are not too many; at most one row a count reaches the driver beside them."""
+    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    room, least = size_for(total), 1
+    for c, n in sorted(map(tuple, vocabulary.groupBy("c").count().collect()), reverse=True):
+        if n > room:
+            least = c + 1
+            break
+        room -= n
+    top = vocabulary.where(F.col("c") >= least).toPandas().sort_values(["c", "h"], ascending=[False, True])
+    return Head(top["h"].to_numpy(dtype=np.int64).view(np.uint64), top["c"].to_numpy(dtype=np.int64), int(total), int(distinct))
+
+
+def fit(training: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, Head, np.ndarray]:
+    """Counts of all tokens of ``training`` (text) as a table (h, c), the head, and the weights."""
     spark = training.sparkSession
     vocabulary = materialize(training.select("text").mapInPandas(_counts, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "vocabulary")
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = vocabulary.orderBy(F.desc("c"), "h").limit(HEAD).toPandas()
-    head = Head(top["h"].to_numpy(dtype=np.int64).view(np.uint64), top["c"].to_numpy(dtype=np.int64), int(total), int(distinct))
-    w1, w2 = Model(head).w1, Model(head).w2
-    for _ in range(rounds):
-        held = spark.sparkContext.broadcast((head, w1, w2))
-        learned = training.select("text").mapInPandas(_learn(held, rate), "k int, row int, visits double, w array<float>")
-        weigh = [(F.sum(F.col("w")[j] * F.col("visits")) / F.sum("visits")).cast("float").alias(f"w{j}") for j in range(CLASSES)]
-        mean = learned.groupBy("k", "row").agg(*weigh).toPandas()
-        for k, w in ((0, w1), (1, w2)):
-            mine = mean[mean["k"] == k]
-            w[mine["row"].to_numpy()] = mine[[f"w{j}" for j in range(CLASSES)]].to_numpy(dtype=np.float32)
-    return vocabulary, head, w1, w2
-
-
-def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = 1) -> DataFrame:
+    head = _head(vocabulary)
+    w = Model(head).w
+    seen, held = np.zeros(len(w)), spark.sparkContext.broadcast(head)
+    for k in range(rounds if head.total else 0):
+        now = spark.sparkContext.broadcast(w)
+        mine = training.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text").coalesce(tasks_for(head.total))
+        sums = mine.mapInPandas(_learn(held, now), MESSAGE).groupBy("chunk").applyInPandas(_summed, MESSAGE)
+        w = w.copy()
+        for chunk, gradient, visits in sums.toLocalIterator():
+            rows = slice(chunk * CHUNK, (chunk + 1) * CHUNK)
+            step(w[rows], np.frombuffer(gradient, dtype=np.float32).reshape(WAYS, -1).T, np.frombuffer(visits, dtype=np.float32), seen[rows])
+        now.destroy()
+    return vocabulary, head, w
+
+
+def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     spark = docs.sparkSession
     small_batches(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("text"))
-    vocabulary, head, w1, w2 = fit(rows.where(~F.col("held_out")), rounds)
-    held = spark.sparkContext.broadcast((head, w1, w2))
-    scored = materialize(rows.mapInPandas(_score(held), SCORED).withColumn("_id", F.monotonically_increasing_id()), "scored")
+    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), held_out(docs[doc_id]).alias("held_out"), docs[text].alias("text"))
+    vocabulary, head, w = fit(rows.where(~F.col("held_out")), rounds)
+    scored = rows.mapInPandas(_score(spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(w)), SCORED)
+    scored = materialize(scored.withColumn("_id", F.monotonically_increasing_id()), "scored")
     away = scored.select("_id", F.explode(F.arrays_zip("h", "times")).alias("x")).select("_id", "x.h", "x.times")
     found = away.join(vocabulary, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     logs = F.col("times") * F.log10(F.col("c") + 0.5)

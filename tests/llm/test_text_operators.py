@@ -163,44 +163,108 @@ def test_scores_are_proper_and_beat_the_base(spark):
     assert maxent.score_texts(docs.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+
+    def held_out(parts):
+        r = maxent.score_texts(docs.repartition(parts)).where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first()
+        return r[0], r[0] - r[1]
+
+    one, gain = held_out(1)
+    assert gain > 0.1
+    monkeypatch.setattr(maxent, "SHARE", 100)  # several training tasks a round
+    assert maxent.tasks_for(300_000) > 4
+    for parts in (4, 64):
+        assert held_out(parts)[0] == pytest.approx(one, abs=0.01 * gain)
+
+
+def test_sizes_grow_with_the_training_tokens():
+    sizes = [maxent.size_for(10**k) for k in range(6, 14)]
+    assert sizes == sorted(set(sizes)) and sizes[-1] > 2000 * sizes[0]
+    assert maxent.tasks_for(10**13) > 1000 and maxent.tasks_for(0) == 1
+
+
 def test_model_sums_to_one():
     import numpy as np
 
     pick = np.random.default_rng(0)
-    counts = np.sort(pick.integers(1, 1000, 1500))[::-1]
-    head = maxent.Head(pick.integers(1, 2**63, 1500, dtype=np.uint64), counts, int(counts.sum()) + 70, 1600)
-    model = maxent.Model(head, pick.normal(size=(1 << maxent.BITS, maxent.CLASSES)).astype(np.float32), pick.normal(size=(1 << maxent.BITS, maxent.UNITS)).astype(np.float32))
-    units = np.concatenate([[0], np.arange(maxent.UNITS, maxent.UNITS + head.n_units)])
-    same = np.full(len(units), 7, dtype=np.uint64)
-    logs, _, _ = model.forward(units, model.features(same, same + np.uint64(1)))
-    rest = (np.concatenate([counts[head.n_units :], np.zeros(1)]).sum() + 70 + 0.5 * (1600 - head.n_units + 1)) / head.rest
-    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4) and rest == pytest.approx(1)
-    assert (head.find(np.array([5], dtype=np.uint64)) == -1).all()
+    for n in (0, 1, 2, 6, 7, 8, 9, 50, 1500):
+        counts = np.sort(pick.integers(1, 1000, n))[::-1]
+        head = maxent.Head(pick.integers(1, 2**63, n, dtype=np.uint64), counts, int(counts.sum()) + 70, n + 100)
+        ranks = np.arange(-1, n)
+        same = np.full(n + 1, 7, dtype=np.uint64)
+        features = maxent.Model.features(same, same + np.uint64(1), same)
+        plain = maxent.Model(head)
+        want = np.concatenate([[head.rest], counts + 0.5]) / (head.rest + (counts + 0.5).sum())
+        assert 10 ** plain.log10(ranks, features) == pytest.approx(want, rel=1e-4)  # no feature: the smoothed counts
+        model = maxent.Model(head, pick.normal(size=plain.w.shape).astype(np.float32))
+        assert (10 ** model.log10(ranks, features)).sum() == pytest.approx(1, abs=1e-4)
+        assert (head.find(np.array([5], dtype=np.uint64)) == -1).all()
+        assert head.rest == pytest.approx(70 + 0.5 * 101)
+
+
+def test_tree_puts_rare_tokens_deep():
+    import numpy as np
 
+    counts = np.array([2 ** (20 - k // 40) for k in range(800)])
+    head = maxent.Head(np.arange(1, 801, dtype=np.uint64), counts, int(counts.sum()), 800)
+    depth = np.zeros(len(head.parent), dtype=int)
+    for leaf in range(head.leaves):
+        at = leaf
+        while at != head.leaves + head.root:
+            at, depth[leaf] = head.leaves + head.parent[at], depth[leaf] + 1
+    assert depth[1] < depth[800] and (np.diff(depth[1 : head.leaves]) >= 0).all()
+    bits = -(counts / counts.sum() * np.log2(counts / counts.sum())).sum()
+    assert (depth[1 : head.leaves] * counts).sum() / counts.sum() < bits / 3 + 1
 
-def test_third_last_token_and_small_batches_train_the_model(monkeypatch):
-    from types import SimpleNamespace
 
+def test_gradient_is_that_of_the_score():
+    import numpy as np
+
+    pick = np.random.default_rng(1)
+    texts = [" ".join(pick.choice(list("abcdefghijklmnop"), 30)) for _ in range(20)]
+    hashes, counts = np.unique(np.concatenate([maxent.tokens(t) for t in texts]), return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    head = maxent.Head(hashes[order], counts[order], int(counts.sum()), len(counts))
+    model = maxent.Model(head)
+    model.w += pick.normal(size=model.w.shape).astype(np.float32) * 0.1
+    _, ranks, features, _, _ = maxent.sequences(texts, head)
+    into, visits = np.zeros((maxent.WAYS, len(model.w))), np.zeros(len(model.w))
+    maxent.gradients(texts, model, into, visits)
+    total = lambda: model.log10(ranks, features).sum() * math.log(10)
+    for row in np.argsort(-visits)[:5]:
+        for j in (0, 3):
+            model.w[row, j] += 0.01
+            up = total()
+            model.w[row, j] -= 0.02
+            down = total()
+            model.w[row, j] += 0.01
+            assert (up - down) / 0.02 == pytest.approx(into[j, row], rel=0.02, abs=0.05)
+
+
+def test_third_last_token_trains_the_model():
     import numpy as np
-    import pandas as pd
 
     pick, texts = random.Random(2), []
-    for _ in range(400):
+    for _ in range(2000):
         x = [pick.randrange(2) for _ in range(20)]
         texts.append(" ".join(f"{'ab'[k]} {pick.choice('uvwx')} {pick.choice('uvwx')} {'cd'[k]}" for k in x))
     hashes, counts = np.unique(np.concatenate([maxent.tokens(t) for t in texts]), return_counts=True)
     order = np.argsort(-counts)
     head = maxent.Head(hashes[order], counts[order], int(counts.sum()), len(counts))
-    blank = maxent.Model(head)
-    steps, update = [], maxent._update
-    monkeypatch.setattr(maxent, "_update", lambda *a: (steps.append(len(a[4])), update(*a)))
-    rows = list(maxent._learn(SimpleNamespace(value=(head, blank.w1, blank.w2)), 0.3)(iter([pd.DataFrame({"text": texts})])))
-    assert max(steps) <= 16384
-    for part in rows:
-        w = (blank.w1, blank.w2)[int(part["k"].iloc[0])]
-        w[part["row"].to_numpy()] = np.stack(part["w"])
-    _, _, units, contexts, _, _ = maxent._sequences(texts, head, blank)
-    logs, _, _ = blank.forward(units, blank.features(*contexts))
-    h = np.concatenate([maxent.tokens(t) for t in texts])
+    model = maxent.Model(head)
+    seen = np.zeros(len(model.w))
+    for k in range(maxent.ROUNDS):
+        into, visits = np.zeros((maxent.WAYS, len(model.w))), np.zeros(len(model.w))
+        maxent.gradients(texts[k :: maxent.ROUNDS], model, into, visits)
+        maxent.step(model.w, into.T, visits, seen)
+    h, ranks, features, _, _ = maxent.sequences(texts, head)
     told = np.isin(h, maxent.tokens("c d")[:-1])
-    assert logs[told].mean() > math.log(0.5) + 0.1  # by the two tokens before it alone, a coin flip
+    # By the two tokens before it alone, a coin flip.
+    assert model.log10(ranks, features)[told].mean() > math.log10(0.5) + 0.1
+
+
+def test_extra_columns_do_not_meet_the_scorer(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (2, None)], DOC).withColumns({c: F.lit(7) for c in ("held_out", "h", "c", "_id", "score", "known")})
+    out = maxent.score_texts(docs)
+    assert out.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"] and out.count() == 3
