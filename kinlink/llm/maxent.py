@@ -41,14 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import materialize, small_batches
-from .shingles import word_hashes
+from .shingles import mix, word_hashes
 
 #: Branches of a class; rounds of training; rows of weights a message holds; tokens of a training task, as a multiple of sqrt(T).
 WAYS, ROUNDS, CHUNK, SHARE = 8, 5, 1 << 14, 1800
 #: Tokens in a numpy batch of training, and of scoring.
 LEARNED, BATCH = 1 << 18, 1 << 15
-#: A step is the gradient over CURVE * visits + RIDGE, with visits of all rounds so far, and no larger than MOST.
-CURVE, RIDGE, MOST = 0.3, 8.0, 2.0
+#: A step is the gradient over CURVE * visits + RIDGE, with visits of all rounds so far, and no larger than MOST; no weight is larger than LARGEST.
+CURVE, RIDGE, MOST, LARGEST = 0.3, 8.0, 2.0, 8.0
 #: Stands for the end of a text; no word is expected to hash to it.
 END = np.uint64(0x5BD1E9955BD1E995)
 #: Stands for what is before a text.
@@ -117,6 +117,7 @@ class Head:
         masses = np.concatenate([[self.rest], self.counts + 0.5])
         order = np.argsort(-masses, kind="stable")
         parent, branch, self.bias = tree(masses[order])
+        self.bias -= self.bias.max(axis=1, keepdims=True)
         self.root = len(self.bias) - 1
         place = np.argsort(order, kind="stable")
         self.leaves = len(parent) - len(self.bias)
@@ -145,47 +146,55 @@ class Model:
     @staticmethod
     def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> list[np.ndarray]:
         """Hashes of the last token, the last two, and the second and the third last."""
-        return [c1 * _ODD[0], (c1 * _ODD[1] + c2) * _ODD[0] + np.uint64(1), c2 * _ODD[2] + np.uint64(2), c3 * _ODD[3] + np.uint64(3)]
+        return [mix(x) for x in (c1 * _ODD[0], (c1 * _ODD[1] + c2) * _ODD[0] + np.uint64(1), c2 * _ODD[2] + np.uint64(2), c3 * _ODD[3] + np.uint64(3))]
 
     def walk(self, ranks: np.ndarray, features: list[np.ndarray]) -> Iterator[tuple]:
-        """Per level, from the leaves up: which tokens, the weight rows of each feature, each token's branch, and the log probabilities and probabilities of the branches."""
-        at, node = np.arange(len(ranks)), ranks + 1
+        """Per level, from the leaves up: which tokens, the weight rows of each feature, each token's branch, and the branches' odds and their sums.
+
+        Biases are logarithms of shares and weights are bounded, so no odds overflow.
+        """
+        at, node = None, ranks + 1
         top = self.head.leaves + self.head.root
-        while len(at):
+        while len(node):
             cls, branch = self.head.parent[node], self.head.branch[node]
             of = (cls.astype(np.uint64) + np.uint64(1)) * _ODD[4]
-            rows = []
+            z = self.head.bias.take(cls, axis=0)
+            more, rows = np.empty_like(z), []
             for f in features:
-                x = (f[at] ^ of) * _ODD[0]
-                rows.append((((x ^ (x >> np.uint64(29))) * _ODD[1]) >> self.shift).astype(np.int32))
-            z = self.head.bias[cls]
-            for r in rows:
-                z += self.w[r]
-            z -= z.max(axis=1, keepdims=True)
-            p = np.exp(z)
-            total = p.sum(axis=1)
-            mine = z[np.arange(len(z)), branch] - np.log(total)
-            p /= total[:, None]
-            yield at, rows, branch, mine, p
+                x = f ^ of if at is None else f.take(at) ^ of
+                x *= _ODD[0]
+                x >>= self.shift
+                rows.append(x.view(np.int64))
+                z += self.w.take(rows[-1], axis=0, out=more, mode="clip")
+            mine = z.reshape(-1).take(np.arange(0, z.size, WAYS) + branch)
+            np.exp(z, out=z)
+            total = z[:, 0].copy()
+            for j in range(1, WAYS):
+                total += z[:, j]
+            yield at, rows, branch, mine, z, total
             node = self.head.leaves + cls
-            go = node != top
-            at, node = at[go], node[go]
+            go = np.flatnonzero(node != top)
+            at, node = go if at is None else at.take(go), node.take(go)
 
     def log10(self, ranks: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
         out = np.zeros(len(ranks))
-        for at, _, _, mine, _ in self.walk(ranks, features):
-            out[at] += mine
+        for at, _, _, mine, _, total in self.walk(ranks, features):
+            mine -= np.log(total)
+            if at is None:
+                out += mine
+            else:
+                out[at] += mine
         return out / math.log(10)
 
     def gradient(self, ranks: np.ndarray, features: list[np.ndarray], into: np.ndarray, visits: np.ndarray) -> None:
         """Adds what these tokens say to the gradient and the number of visits of each row."""
-        for _, rows, branch, _, p in self.walk(ranks, features):
-            np.negative(p, out=p)
-            p[np.arange(len(p)), branch] += 1
-            every = np.concatenate(rows)
+        for _, rows, branch, _, p, total in self.walk(ranks, features):
+            p /= -total[:, None]
+            p.reshape(-1)[np.arange(0, p.size, WAYS) + branch] += 1
+            every, columns = np.concatenate(rows), p.T.astype(np.float64, order="C")
             visits += np.bincount(every, minlength=len(visits))
-            for j in range(WAYS):
-                into[j] += np.bincount(every, np.tile(p[:, j], len(rows)), len(visits))
+            for column, sums in zip(columns, into, strict=True):
+                sums += np.bincount(every, np.tile(column, len(rows)), len(visits))
 
 
 def sequences(texts, head: Head) -> tuple:
@@ -229,6 +238,7 @@ def step(w: np.ndarray, gradient: np.ndarray, visits: np.ndarray, seen: np.ndarr
     """One update of the weights (or of some rows); ``seen`` gathers the visits of all rounds."""
     seen += visits
     w += np.clip(gradient / (CURVE * seen[:, None] + RIDGE), -MOST, MOST).astype(np.float32)
+    np.clip(w, -LARGEST, LARGEST, out=w)
 
 
 MESSAGE = "chunk int, gradient binary, visits binary"
