@@ -91,3 +91,17 @@ def test_whole_run_from_files_to_files(spark, tmp_path):
     main(["export", *sides, "--pairs", at("address"), "--scored", at("scored"), "--matching", at("m.tsv"), "--candidates", at("c.tsv")])
     main(["validate-export", "--matching", at("m.tsv"), "--candidates", at("c.tsv"), "--test-dir", at("raw"), "--report", at("v.json")])
     assert json.loads((tmp_path / "v.json").read_text())["status"] == "PASS"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from kinlink.sources import scratch
+
+    assert scratch.materialize(spark.range(3), "x").count() == 3
+    conf = SimpleNamespace(get=lambda *_: None)
+    remote = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(isLocal=lambda: False))), conf=conf)
+    with pytest.raises(ValueError):
+        scratch.scratch(remote)
+    conf.get = lambda *_: "hdfs://shared/"
+    assert scratch.scratch(remote) == "hdfs://shared"
