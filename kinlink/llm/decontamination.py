@@ -8,7 +8,11 @@ strings that end in it, subdivided by their first block, and every string there
 is compared word for word.
 
 Words are the runs of 0-9, a-z and non-ASCII characters after lower-casing A-Z.
-Null and empty texts have no words; an item without words has no string.
+Null and empty texts have no words; an item without words has no string.  An
+empty benchmark hits nothing; an empty table has an empty result.  Repeated
+rows and items each count; a null item id is the id "".  Texts of any length
+are searched whole.  Strings that occur at one place all count, their spans
+merged.
 """
 
 from __future__ import annotations
@@ -20,17 +24,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import free, materialize, scratch_path, small_batches, whole
 
 #: A-Z to a-z; every other ASCII character that is no letter or digit to a space.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start:int,end:int>>"
 
-_STRUCT = "struct<" + FOUND.replace(" long", ":long").replace(" array", ":array") + ">"
-
-#: Strings in one search table at most; a larger benchmark is searched in blocks.
-BLOCK = 1_000_000
+#: Bytes of strings in one block of a benchmark, give or take an item; the tables of a block take some ten times as much.
+BLOCK = 16 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -92,53 +94,86 @@ def _tables(found: dict[tuple, list[str]]) -> list[Table]:
     return [Table(n, by_length[n]) for n in sorted(by_length)]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block: int) -> Iterator[dict]:
-    found: dict[tuple, list[str]] = {}
-    for row in benchmark.select(F.col(item_id).cast("string"), F.col(text)).toLocalIterator():
+def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block: int) -> Iterator[tuple[dict, bool]]:
+    """The strings with their items, block by block, and whether more follow; the driver holds one block at a time."""
+    rows = benchmark.select(benchmark[item_id].cast("string"), benchmark[text]).toLocalIterator()
+    row, found, size = next(rows, None), {}, 0
+    while row is not None:
         for string in strings(row[1], window):
             found.setdefault(string, []).append("" if row[0] is None else row[0])
-        if len(found) >= block:
-            yield found
-            found = {}
-    if found:
-        yield found
+            size += sum(map(len, string))
+        row = next(rows, None)
+        if size >= block and row is not None:
+            yield found, True
+            found, size = {}, 0
+    yield found, False
 
 
 def _search(held: Broadcast) -> Callable[..., Column]:
-    built: list[Table] = []
+    built: list[list[Table]] = []
 
     @F.pandas_udf(FOUND)
-    def search(texts: pd.Series, so_far: pd.DataFrame) -> pd.DataFrame:
-        tables = built or built.extend(_tables(held.value)) or built
+    def search(texts: pd.Series) -> pd.DataFrame:
+        if not built:
+            built.append(_tables(held.value))
         rows = []
-        for x, old_spans, old_items in zip(texts, so_far["spans"], so_far["items"], strict=True):
-            w = tokens(x)
-            spans = [] if old_spans is None else [(s["start"], s["end"]) for s in old_spans]
-            items = set() if old_items is None else set(old_items)
-            for table in tables:
+        for x in texts:
+            w, spans, items = tokens(x), [], set()
+            for table in built[0]:
                 table.search(w, spans, items)
-            spans = merged(spans)
-            rows.append((len(w), sum(e - s for s, e in spans), sorted(items), [{"start": s, "end": e} for s, e in spans]))
+            rows.append(_row(len(w), merged(spans), items))
         return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
 
     return search
 
 
-def contamination(benchmark: DataFrame, text: Column, item_id: str = "item_id", item_text: str = "text", window: int = 10, block: int = BLOCK) -> Column:
-    """A struct column (``FOUND``): words, words hit, items found and the merged word spans of a document's text.
+def _row(n_words: int, spans: list[tuple[int, int]], items: set[str]) -> tuple:
+    return n_words, sum(e - s for s, e in spans), sorted(items), [{"start": s, "end": e} for s, e in spans]
+
+
+def _joined(n_words: pd.Series, items: pd.Series, spans: pd.Series) -> pd.DataFrame:
+    """What all blocks found in a text."""
+    rows = []
+    for n, i, s in zip(n_words, items, spans, strict=True):
+        rows.append(_row(n, merged([(x["start"], x["end"]) for x in s]) if s is not None else [], set(i) if i is not None else set()))
+    return pd.DataFrame(rows, columns=["n_words", "n_hit", "items", "spans"])
+
 
-    The benchmark is read item by item into tables of at most ``block`` strings
-    plus one item; each table is broadcast and searched in turn over all rows,
-    so a benchmark of any size is searched whole and documents never move.
+def _found(docs: DataFrame, benchmark: DataFrame, text: str, item_id: str, item_text: str, window: int, block: int) -> DataFrame:
+    """``row`` (the row of ``docs``) and ``found``.
+
+    A benchmark of one block is searched where the rows are.  Of a larger one,
+    each block in turn is read, broadcast, searched and let go; what it finds is
+    written by the hash of the text, and the blocks' finds are joined to the
+    rows in the end.
     """
-    small_batches(benchmark.sparkSession)
-    spark, out = benchmark.sparkSession, F.lit(None).cast(_STRUCT)
-    for found in list(_blocks(benchmark, item_id, item_text, window, block)) or [{}]:
-        out = _search(spark.sparkContext.broadcast(found))(text, out)
-    return out
+    spark = docs.sparkSession
+    small_batches(spark)
+    rows, parts = docs.select(whole(docs).alias("row"), docs[text].alias("text")), None
+    for strings_of, more in _blocks(benchmark, item_id, item_text, window, block):
+        held = spark.sparkContext.broadcast(strings_of)
+        if parts is None and not more:
+            return rows.select("row", _search(held)("text").alias("found"))
+        parts = parts or scratch_path(spark, "found")
+        hits = rows.where("text IS NOT NULL").select(F.sha2("text", 256).alias("h"), _search(held)("text").alias("f")).where("f.n_hit > 0")
+        hits.groupBy("h").agg(F.first("f").alias("f")).select("h", "f.items", "f.spans").write.mode("append").parquet(parts)
+        held.destroy()
+    every = spark.read.schema("h string, items array<string>, spans array<struct<start:int,end:int>>").parquet(parts)
+    # Written, so that the join can split the rows of a text that many share.
+    every = materialize(every.groupBy("h").agg(F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("spans")).alias("spans")), "found")
+    counted = rows.select("row", F.sha2("text", 256).alias("h"), _search(spark.sparkContext.broadcast({}))("text")["n_words"].alias("n_words"))
+    return counted.join(every, "h", "left").select("row", F.pandas_udf(_joined, FOUND)("n_words", "items", "spans").alias("found"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block: int = BLOCK, out: str = "found") -> DataFrame:
+    """``docs`` with a struct ``out`` (``FOUND``): words, words hit, items found and the merged word spans of each text.
+
+    Where ``docs`` has a column of that name, ``out`` has an underscore behind it.
+    """
+    return _found(docs, benchmark, text, item_id, item_text, window, block).select("row.*", F.col("found").alias(free(out, docs.columns)))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", most: float = 0.0, **options) -> DataFrame:
-    """The documents whose share of words hit is at most ``most``, with their own columns only."""
-    found = docs.withColumn("_found", contamination(benchmark, F.col(text), **options))
-    return found.where(F.col("_found.n_hit") <= most * F.col("_found.n_words")).drop("_found")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", most: float = 0.0, item_id: str = "item_id", item_text: str = "text", window: int = 10, block: int = BLOCK) -> DataFrame:
+    """The documents whose share of words hit is at most ``most``, with their own columns only, whatever their names."""
+    found = _found(docs, benchmark, text, item_id, item_text, window, block)
+    return found.where(F.col("found.n_hit") <= most * F.col("found.n_words")).select("row.*")

@@ -11,7 +11,13 @@ only if at least half the pages of their host have them in theirs (three at
 least), and where no neighbour proves anything that element is the whole main
 text; text in menus, headers, footers,
 sidebars, notices, adverts, forms, scripts and comments goes even if no
-neighbour has it.  Null pages have an empty text.  Null URLs are one host.
+neighbour has it.
+
+Null and empty pages have an empty text; an empty table has an empty result.
+Null URLs are one host.  Pages of any length are read whole.  Pages that tie in
+host, path and URL stand by id; repeated rows are pages of their own and, as
+copies of each other, prove nothing about each other's lines.  Columns beside
+id, URL and html are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -319,7 +325,7 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     size is cut into ranges of its paths.
     """
     small_batches(pages.sparkSession)
-    raw = pages.select(F.col(page).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html")).mapInPandas(parsed, PARSED)
+    raw = pages.select(pages[page].cast("long").alias("page_id"), pages[url].alias("url"), pages[html].alias("html")).mapInPandas(parsed, PARSED)
     held = materialize(raw.withColumn("_id", F.monotonically_increasing_id()), "pages")
     order, _ = ranked(held.select("_id", "host", "path", "url", "page_id", "around", "at", "own"), ["host", "path", "url", "page_id"], "_rank")
     mine = F.array_distinct(F.transform(F.filter(F.arrays_zip("at", "own"), lambda x: x["own"]), lambda x: F.get("around", x["at"])))

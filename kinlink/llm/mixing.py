@@ -8,8 +8,11 @@ hypergeometric distribution, drawn source by source.  A permutation of each
 source's draws then deals disjoint runs of blocks to the shards, as long as the
 quotas say, and rows are shuffled within their shard.
 
-Null sources are a source, the last; null texts have size 0.  Every draw comes
-from hashes of the seed, so reruns agree.  Rows that repeat are separate rows.
+Null sources are a source, the last; null texts and texts without words have
+size 0.  Every draw comes from hashes of the seed, so reruns agree.  Rows that
+repeat are rows of their own, drawn alike, as they share a block.  An empty
+table has an empty mix.  Texts of any length count whole.  Orders that tie are
+settled by the block's number.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import materialize, n_words
+from .shared import free, materialize, n_words, whole
 
 #: Blocks of a source at most; a source with fewer documents has about one block a document.
 BLOCKS = 1024
@@ -167,20 +170,25 @@ def draws(sized: DataFrame, shards: int = 16, seed: int = 5) -> DataFrame:
 
 
 def plan(docs: DataFrame, key: list[str], source: str = "source", text: str = "text", shards: int = 16, seed: int = 5) -> DataFrame:
-    """Every row of ``docs`` with ``_size, _source_size, _target`` and ``_shards``, one entry a copy that the mix takes.
+    """``row`` (the row of ``docs``) with ``size, source_size, target`` and ``shards``, one entry a copy that the mix takes.
 
     The block table has a bounded number of rows a source; it is broadcast when
     counted small, and rows then stay where they are.
     """
-    sized = docs.withColumn("_size", n_words(F.col(text))).withColumn("_block", block_of([F.col(k) for k in key], seed))
-    table = draws(sized.select(F.col(source).alias("source"), F.col("_size").alias("size"), F.col("_block").alias("block")), shards, seed)
-    small = table.select(F.col("source").alias("_s"), F.col("block").alias("_b"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("shards").alias("_shards"))
-    small = F.broadcast(small) if table.count() <= BROADCAST_ROWS else small
-    return sized.join(small, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))).drop("_s", "_b", "_block")
+    sized = docs.select(whole(docs).alias("row"), docs[source].alias("s"), n_words(docs[text]).alias("size"), block_of([docs[k] for k in key], seed).alias("b"))
+    table = draws(sized.select(F.col("s").alias("source"), "size", F.col("b").alias("block")), shards, seed)
+    small = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    return sized.join(small, F.col("s").eqNullSafe(F.col("source")) & (F.col("b") == F.col("block"))).select("row", "size", "source_size", "target", "shards")
 
 
 def mix(docs: DataFrame, key: list[str], source: str = "source", text: str = "text", shards: int = 16, seed: int = 5, keep_shard: bool = False) -> DataFrame:
-    """The rows the mix takes, a row a copy, with the columns of ``docs`` (and ``mix_shard, mix_order``: sort by both to read a shard shuffled)."""
-    rows = plan(docs, key, source, text, shards, seed).select(*[docs[c] for c in docs.columns], F.posexplode("_shards").alias("_copy", "mix_shard"))
-    order = F.xxhash64(F.lit(seed), *[F.col(k) for k in key], F.col("_copy"))
-    return rows.withColumn("mix_order", order).drop("_copy") if keep_shard else rows.drop("_copy", "mix_shard")
+    """The rows the mix takes, a row a copy, with the columns of ``docs``, whatever their names.
+
+    They come shard by shard, shuffled within each: written, every file is a
+    run of that order.  ``keep_shard`` adds it as ``mix_shard`` and
+    ``mix_order`` (with an underscore behind, where ``docs`` has such columns).
+    """
+    rows = plan(docs, key, source, text, shards, seed).select("row", F.posexplode("shards").alias("copy", "shard"))
+    rows = rows.withColumn("at", F.xxhash64(F.lit(seed), *[F.col("row").getField(k) for k in key], F.col("copy")))
+    rows = rows.repartitionByRange("shard", "at").sortWithinPartitions("shard", "at")
+    return rows.select("row.*", *([F.col("shard").alias(free("mix_shard", docs.columns)), F.col("at").alias(free("mix_order", docs.columns))] if keep_shard else []))

@@ -6,8 +6,11 @@ of vote patterns (3^rules at most, whatever the corpus) estimates how each rule
 votes on good and on bad texts, and a text is kept when its posterior
 probability of being good is at least ``threshold``.
 
-Null texts have no words.  An empty table learns the starting estimates.
-Repeated rows count as often as they stand.
+Null texts have no words.  An empty table learns the starting estimates and has
+an empty result.  Repeated rows count as often as they stand.  Texts of any
+length are counted whole.  A posterior equal to the threshold keeps the text.
+A column kept beside the counts keeps its name; a count of that name has an
+underscore behind it.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import SPACE, materialize, words
+from .shared import SPACE, free, materialize, whole, words
 
 # Fixed values of the contract.
 SYMBOLS = r"[^#*$%&|<>]"
@@ -150,7 +153,13 @@ def score(docs: DataFrame, keep: list[str], text: str = "text", threshold: float
     The texts are read once: their counts are written to the shared folder, and
     both the estimates and the verdicts come from there.
     """
-    counted = materialize(_counted(docs.select(*keep, F.col(text).alias("_text")), "_text").drop("_text"), "quality")
+    inner = docs.select(whole(docs.select(*keep)).alias("_row"), docs[text].alias("_text"))
+    out = _judged(inner, threshold)
+    return out.select("_row.*", *[F.col(c).alias(free(c, keep)) for c in (*COUNTS, "base_failed", "quality", "kept")])
+
+
+def _judged(inner: DataFrame, threshold: float) -> DataFrame:
+    counted = materialize(_counted(inner, "_text").drop("_text"), "quality")
     return judged(counted, fit(counted), threshold)
 
 
@@ -160,7 +169,5 @@ def judged(counted: DataFrame, model: tuple[float, list], threshold: float = 0.5
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns."""
-    inner = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    counted = materialize(_counted(inner.withColumn("_text", F.col(f"_row.`{text}`")), "_text").drop("_text"), "quality")
-    return judged(counted, fit(counted), threshold).where("kept").select("_row.*")
+    """The rows of ``docs`` that are kept, with their own columns, whatever their names."""
+    return _judged(docs.select(whole(docs).alias("_row"), docs[text].alias("_text")), threshold).where("kept").select("_row.*")

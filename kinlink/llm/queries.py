@@ -34,8 +34,7 @@ def op3_hashed_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.contamination(_read(spark, sf_dir, "benchmark"), F.col("text"))
-    rows = _read(spark, sf_dir, "documents").select("doc_id", found.alias("f"))
+    rows = decontamination.contamination(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"), out="f")
     return rows.select(
         "doc_id", "f.n_words", "f.n_hit", F.size("f.items").cast("long").alias("n_items"), F.sha2(F.array_join("f.items", ","), 256).alias("items_sha256"), (F.col("f.n_hit") > 0).alias("contaminated")
     )
@@ -56,8 +55,9 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_splitting_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's draws are those that the tree dealt to the shards; ``shards`` lists them."""
     rows = mixing.plan(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["doc_id"])
-    return rows.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.size("_shards")).cast("long").alias("taken"))
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"), "row.source", "shards")
 
 
 #: End of a document: the first id that the vocabulary leaves free.
@@ -74,8 +74,11 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str, vocabulary: str | None
 
 
 def op9_blob_ledger_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents")
-    found = secrets.findings(docs, secrets.scan(docs), ["doc_id"])
+    """Two versions of the table, the earlier with half its rows: the second scan reads only blobs that the first has not entered in the ledger."""
+    docs, ledger = _read(spark, sf_dir, "documents"), scratch_path(spark, "ledger")
+    for version in (docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0), docs):
+        scanned = secrets.record(version, ledger)
+    found = secrets.findings(docs, scanned, ["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.RULES]))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))

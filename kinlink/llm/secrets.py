@@ -1,18 +1,26 @@
 """Secret scans over a ledger of content-addressed blobs; DataFrame functions only.
 
-Every version of every text is a blob, named by its SHA-256.  A ledger keeps
-which (blob, rule, rule version) pairs were scanned and what was found; a scan
-reads only pairs that the ledger lacks, and findings join back to every path
-(row) that holds the blob.  Null texts are the empty blob.
+Every version of every text is a blob, named by its SHA-256.  A ledger, a folder
+that every scan adds to, keeps which (blob, rule, rule version) pairs were
+scanned and what was found; a scan reads only pairs that the ledger lacks, and
+findings join back to every path (row) that holds the blob.
+
+Null texts are the empty blob.  Repeated rows are one blob, scanned once, and
+all get its findings; an empty table scans nothing and has none.  Texts of any
+length are scanned whole.  Findings that start alike stand in the rules' order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import free
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -79,13 +87,11 @@ def scan(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     Equal texts meet once: copies are dropped in each input task before the
     blobs travel, so a group of copies sends one row a task.
     """
-    blobs = versions.select(blob_id(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    due = F.lit(None).cast("array<string>")
+    blobs = versions.select(blob_id(versions[text]).alias("blob"), F.coalesce(versions[text], F.lit("")).alias("_text")).groupBy("blob").agg(F.first("_text").alias("_text"))
+    blobs = blobs.withColumn("_done", F.lit(None).cast("array<string>"))
     if ledger is not None:
         done = ledger.select("blob", F.concat_ws(":", "kind", F.col("version").cast("string")).alias("_pair")).groupBy("blob").agg(F.collect_set("_pair").alias("_done"))
-        blobs = blobs.join(done, "blob", "left").where((F.col("_done").isNull()) | (F.size(F.array_except(F.array(*[F.lit(f"{r.kind}:{r.version}") for r in rules]), F.col("_done"))) > 0))
-        due = F.col("_done")
-    blobs = blobs.groupBy("blob", due.alias("_done")).agg(F.first("_text").alias("_text"))
+        blobs = blobs.drop("_done").join(done, "blob", "left").where((F.col("_done").isNull()) | (F.size(F.array_except(F.array(*[F.lit(f"{r.kind}:{r.version}") for r in rules]), F.col("_done"))) > 0))
     rows = [
         F.when(F.col("_done").isNull() | ~F.array_contains("_done", f"{r.kind}:{r.version}"), F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), spans(F.col("_text"), r, k).alias("spans")))
         for k, r in enumerate(rules)
@@ -93,9 +99,32 @@ def scan(versions: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     return blobs.select("blob", F.explode(F.array(*rows)).alias("_r")).where("_r IS NOT NULL").select("blob", "_r.*")
 
 
+LEDGER = f"blob binary, kind string, version int, spans {SPANS}"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(path)
+
+
+def record(versions: DataFrame, path: str, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scans what the ledger at ``path`` lacks of ``versions`` and adds it; returns the ledger.
+
+    Each scan writes a folder of its own, so one that fails leaves the ledger
+    as it was.
+    """
+    spark = versions.sparkSession
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    scan(versions, text, rules, read_ledger(spark, path) if there else None).write.parquet(f"{path}/scan-{uuid.uuid4().hex}")
+    return read_ledger(spark, path)
+
+
 def findings(versions: DataFrame, ledger: DataFrame, path: list[str], text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row of ``versions`` as its ``path`` columns, ``blob`` and ``spans``: all findings of the given rules, by place.
 
+    A path column called ``blob`` or ``spans`` stays, and the operator's has an
+    underscore behind its name.
+
     Only blobs with findings take part in the join, and rows travel without
     their texts.  Each blob's findings are sent ``SALTS`` times, so that the
     paths of a blob with many copies spread over as many tasks.  A row without
@@ -104,8 +133,10 @@ def findings(versions: DataFrame, ledger: DataFrame, path: list[str], text: str
     mine = F.concat_ws(":", "kind", F.col("version").cast("string")).isin([f"{r.kind}:{r.version}" for r in rules])
     found = ledger.where(mine & (F.size("spans") > 0)).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     found = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = versions.select(*path, blob_id(F.col(text)).alias("blob")).withColumn("_salt", F.pmod(F.xxhash64(*path), F.lit(SALTS)).cast("int"))
-    return rows.join(found, ["blob", "_salt"], "left").drop("_salt").withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    of = [versions[c] for c in path]
+    rows = versions.select(F.struct(*[c.alias(p) for c, p in zip(of, path, strict=True)]).alias("_path"), blob_id(versions[text]).alias("blob"), F.pmod(F.xxhash64(*of), F.lit(SALTS)).cast("int").alias("_salt"))
+    met = rows.join(found, ["blob", "_salt"], "left")
+    return met.select("_path.*", F.col("blob").alias(free("blob", path)), F.coalesce("spans", F.array().cast(SPANS)).alias(free("spans", path)))
 
 
 def listed(found: Column) -> Column:

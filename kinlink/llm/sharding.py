@@ -1,4 +1,9 @@
-"""Reproducible shuffle and shards by a Feistel permutation of global row numbers."""
+"""Reproducible shuffle and shards by a Feistel permutation of global row numbers.
+
+Rows are numbered by their key, nulls first.  Rows that tie, repeated ones
+included, get consecutive numbers in no stated order.  An empty table stays
+empty; null and very long values travel like any others.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .shared import ranked
+from .shared import ranked, whole
 
 ROUNDS = 6
 _LOW31 = np.uint64((1 << 31) - 1)
@@ -72,13 +77,10 @@ def shard_rows(df: DataFrame, key: list[str], n_shards: int, seed: int = 17, sha
     Rows are numbered by ``key`` (nulls first; ties consecutive), permuted, and
     dealt in turn: shard sizes differ by one row at most and slots have no gaps.
     An empty table stays empty.  Columns already called ``shard`` or ``slot``
-    are replaced.  Rows travel once, in the range shuffle that numbers them.
+    are replaced; all others stay, whatever their names.  Rows travel once, in
+    the range shuffle that numbers them.
     """
-    numbered, n = ranked(df.drop(shard, slot), key, "_row")
-    at = permuted(F.col("_row"), max(n, 1), seed)
-    return (
-        numbered.withColumn("_at", at)
-        .withColumn(shard, F.pmod(F.col("_at"), F.lit(n_shards)).cast("int"))
-        .withColumn(slot, F.expr(f"_at div {n_shards}"))
-        .drop("_at", "_row")
-    )
+    keys = [f"k{i}" for i in range(len(key))]
+    numbered, n = ranked(df.select(*[df[c].alias(k) for c, k in zip(key, keys, strict=True)], whole(df.drop(shard, slot)).alias("row")), keys, "number")
+    dealt = numbered.withColumn("at", permuted(F.col("number"), max(n, 1), seed))
+    return dealt.select("row.*", F.pmod(F.col("at"), F.lit(n_shards)).cast("int").alias(shard), F.expr(f"at div {n_shards}").alias(slot))

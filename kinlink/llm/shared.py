@@ -2,42 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize, scratch_path  # noqa: F401
+
 #: White space that separates words: space and the controls 09 to 0D.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession) -> str:
-    """The folder shared by driver and executors; a temporary one only where the cluster names none."""
-    conf = spark.sparkContext.getConf()
-    named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="kinlink-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
-    path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: a lost executor then costs a read, not the lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession) -> None:
     """From here on Arrow batches hold 500 rows and 16 MB at most: whole texts cross to Python, and both sides hold a batch."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -46,6 +19,19 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+def whole(df: DataFrame) -> Column:
+    """The row as one struct, so that no name of a caller's column meets one of an operator's."""
+    return F.struct(*[df[c].alias(c) for c in df.columns])
+
+
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores behind it as keep it apart from the columns of the input."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

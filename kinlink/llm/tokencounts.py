@@ -9,8 +9,11 @@ documents end before a block and how many tokens of an open document it
 continues.
 
 A file's last document may lack its separator.  Empty documents count 0, an
-empty file has none, and a null text is an empty document.  A file whose bytes
-are no whole number of tokens fails.
+empty file has none, and a null text is an empty document; an empty table has
+no files and an empty result.  Repeated rows are documents of their own, as are
+rows with null ids.  Documents of any length span as many blocks as they need.
+Columns beside the id and the text are left out, whatever their names.  A file
+whose bytes are no whole number of tokens fails.
 """
 
 from __future__ import annotations
@@ -82,7 +85,7 @@ def write_token_files(docs: DataFrame, path: str, encoder: Callable, separator:
             some = ids[at : at + 10_000]
             yield pa.record_batch([pa.array([name] * len(some)), pa.array([size] * len(some), pa.int64()), pa.array(range(at, at + len(some)), pa.int64()), pa.array(some, pa.int64())], names=["file", "bytes", "document", "doc_id"])
 
-    rows = docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, "file string, bytes long, document long, doc_id long")
+    rows = docs.select(docs[doc_id].cast("long"), docs[text]).mapInArrow(run, "file string, bytes long, document long, doc_id long")
     return materialize(rows, "manifest")
 
 

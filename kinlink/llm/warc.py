@@ -6,7 +6,10 @@ Record identifiers are derived from the capture's id, URL and payload, so a
 rerun writes the same archive.  Of captures with equal payloads of at least
 ``least`` bytes the one with the largest id (then URL) is a response and the
 others revisit it; rows equal in id, URL and payload too are all responses.
-Null payloads are empty; null ids and URLs come back as null and "".
+Null payloads are empty; null ids and URLs come back as null and "".  An empty
+table gives an empty archive.  Payloads of any length are one record; repeated
+rows are records of their own, which share an identifier.  Columns beside id,
+URL and payload are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ def _record(head: list[tuple[str, Column]], content: Column) -> Column:
 
 def captures(pages: DataFrame, page: str = "page_id", url: str = "url", payload: str = "html", least: int = 1000) -> DataFrame:
     """``_page, _url, _payload, _digest, _bytes, _first`` (a struct page, url: the response of a revisit, else null)."""
-    rows = pages.select(F.col(page).alias("_page"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), r"[\r\n]", " ").alias("_url"), F.coalesce(F.col(payload), F.lit("")).alias("_payload"))
+    rows = pages.select(pages[page].alias("_page"), F.regexp_replace(F.coalesce(pages[url], F.lit("")), r"[\r\n]", " ").alias("_url"), F.coalesce(pages[payload], F.lit("")).alias("_payload"))
     rows = rows.withColumn("_digest", F.sha1("_payload")).withColumn("_bytes", F.octet_length("_payload").cast("long"))
     me = F.struct(F.col("_page").alias("page"), F.col("_url").alias("url"))
     groups = rows.where(F.col("_bytes") >= least).groupBy("_digest").agg(F.max(me).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")

@@ -2,8 +2,6 @@
 
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 import __spark_entry__ as entry
 import corpus_pipeline
 from kinlink.llm import decontamination, jaccard, mixing, quality
@@ -30,9 +28,9 @@ def test_stages_take_effect(spark):
     assert set(ids[1]) == good
     assert set(ids[2]) == {r.doc_id for r in jaccard.link_classes(kept[1]).where("doc_id = component_id").collect()}
     bench = spark.read.parquet(f"{DIR}/benchmark.parquet")
-    found = kept[2].select("doc_id", decontamination.contamination(bench, F.col("text")).alias("f"))
-    assert set(ids[3]) == {r.doc_id for r in found.where("f.n_hit = 0").collect()}
-    taken = {r.doc_id: len(r._shards) for r in mixing.plan(kept[3], ["doc_id"]).collect()}
+    found = decontamination.contamination(kept[2], bench)
+    assert set(ids[3]) == {r.doc_id for r in found.where("found.n_hit = 0").collect()}
+    taken = {r.row.doc_id: len(r.shards) for r in mixing.plan(kept[3], ["doc_id"]).collect()}
     assert ids[4] == Counter({i: n for i, n in taken.items() if n})
     assert ids[5] == ids[4] and kept[5].columns == [*columns, "shard", "slot"]
     assert sorted((r.shard, r.slot) for r in kept[5].select("shard", "slot").collect()) == sorted((i % 24, i // 24) for i in range(sum(ids[5].values())))

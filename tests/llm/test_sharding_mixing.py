@@ -30,8 +30,8 @@ def test_locate_and_row_at_agree():
 def test_shards_differ_by_a_row_and_slots_have_no_gaps(spark):
     rows = [(None, "x", 1)] * 3 + [(5, None, 2)] * 40 + [(i, str(i), 9) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string, shard int")
-    out = sharding.shard_rows(df, ["doc_id"], 7)
-    assert out.columns == ["doc_id", "text", "shard", "slot"]
+    out = sharding.shard_rows(df.withColumns({c: F.lit(c) for c in ("_at", "_row", "row", "number", "k0")}), ["doc_id"], 7)
+    assert out.columns == ["doc_id", "text", "_at", "_row", "row", "number", "k0", "shard", "slot"] and out.where("_at = '_at' AND number = 'number'").count() == len(rows)
     got = out.collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter((a, b) for a, b, _ in rows)
     slots = {}
@@ -110,13 +110,36 @@ def test_mix_takes_whole_copies_near_targets(spark):
     assert len(plan) == len(rows)
     taken = Counter()
     for r in plan:
-        taken[r.source] += r._size * len(r._shards)
-        assert len(r._shards) <= 3 and r._size == len((r.text or "").split())
-    for s, t in {r.source: r._target for r in plan}.items():
+        taken[r.row.source] += r.size * len(r.shards)
+        assert len(r.shards) <= 3 and r.size == len((r.row.text or "").split())
+    for s, t in {r.row.source: r.target for r in plan}.items():
         assert abs(taken[s] - t) <= 0.02 * t
     mixed = mixing.mix(docs, ["doc_id"])
     assert mixed.columns == docs.columns
-    assert Counter(map(tuple, mixed.collect())) == Counter(t for r in plan for t in [(r.doc_id, r.source, r.text, r.size)] * len(r._shards))
+    assert Counter(map(tuple, mixed.collect())) == Counter(t for r in plan for t in [tuple(r.row)] * len(r.shards))
     again = mixing.mix(docs.repartition(5), ["doc_id"], keep_shard=True).collect()
-    assert sum(len(r._shards) for r in plan) == len(again) and {r.mix_shard for r in again} == set(range(16))
+    assert sum(len(r.shards) for r in plan) == len(again) and {r.mix_shard for r in again} == set(range(16))
+    # Rows come shard by shard, shuffled within each.
+    assert [(r.mix_shard, r.mix_order) for r in again] == sorted((r.mix_shard, r.mix_order) for r in again)
+    assert [r.doc_id for r in again if r.mix_shard == 3] != sorted(r.doc_id for r in again if r.mix_shard == 3 and r.doc_id)
+    clash = docs.withColumns({c: F.lit(c) for c in ("_size", "_block", "row", "shard", "at", "copy", "mix_shard")})
+    out = mixing.mix(clash, ["doc_id"], keep_shard=True)
+    assert out.columns == [*clash.columns, "mix_shard_", "mix_order"] and out.where("_size = '_size' AND at = 'at' AND mix_shard = 'mix_shard'").count() == len(again)
     assert mixing.mix(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_query_takes_what_the_tree_dealt(spark):
+    """Shards hold equal numbers of block draws, a block's draws are one a copy, and each source's quota is met."""
+    from kinlink.llm.queries import op7_splitting_tree_mix
+
+    rows = op7_splitting_tree_mix(spark, "/root/testdata/sf0.01").collect()
+    assert all(r.taken == r.size * len(r.shards) and all(0 <= s < 16 for s in r.shards) for r in rows)
+    block = lambda r: (r.source, tuple(r.shards))
+    assert len({block(r) for r in rows}) > 16
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert taken == pytest.approx(target, rel=0.03)
+    words = Counter(s for r in rows for s in r.shards for _ in range(r.size))
+    assert set(words) == set(range(16))

@@ -43,15 +43,36 @@ def test_decontamination_matches_brute_force(spark):
     pick.shuffle(docs)
     df = spark.createDataFrame(list(enumerate(docs)), DOC)
     bench = spark.createDataFrame(items, "item_id string, text string")
-    for block in (10**6, 7):
-        out = df.select("doc_id", decontamination.contamination(bench, F.col("text"), window=4, block=block).alias("f")).collect()
+    for block in (10**6, 500):
+        out = decontamination.contamination(df, bench, window=4, block=block, out="text").collect()
+        assert len(out) == len(docs)
         for r in out:
-            assert (r.f.n_words, r.f.n_hit, r.f["items"]) == brute_hits(docs[r.doc_id], items, 4)
-            assert sum(s.end - s.start for s in r.f.spans) == r.f.n_hit
-    assert df.select(decontamination.contamination(bench.limit(0), F.col("text")).alias("f")).agg(F.sum("f.n_hit")).first()[0] == 0
+            f = r.text_
+            assert (f.n_words, f.n_hit, f["items"]) == brute_hits(docs[r.doc_id], items, 4)
+            assert sum(s.end - s.start for s in f.spans) == f.n_hit
+    assert decontamination.contamination(df, bench.limit(0)).agg(F.sum("found.n_hit")).first()[0] == 0
     assert decontamination.decontaminate(df.limit(0), bench).count() == 0
-    kept = decontamination.decontaminate(df.withColumn("n_hit", F.lit(1)), bench, window=4)
-    assert kept.columns == ["doc_id", "text", "n_hit"] and {r.doc_id for r in kept.collect()} == {i for i, d in enumerate(docs) if not brute_hits(d, items, 4)[1]}
+    kept = decontamination.decontaminate(df.withColumn("n_hit", F.lit(1)).withColumn("_found", F.lit(1)).withColumn("row", F.lit(1)).withColumn("h", F.lit(1)), bench, window=4, block=500)
+    assert kept.columns == ["doc_id", "text", "n_hit", "_found", "row", "h"] and {r.doc_id for r in kept.collect()} == {i for i, d in enumerate(docs) if not brute_hits(d, items, 4)[1]}
+
+
+def test_driver_holds_one_block_of_the_benchmark(spark, monkeypatch):
+    """A document hit by strings of several blocks; each block is searched before the next is read."""
+    words = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(words[i : i + 4])) for i in range(0, 56, 2)], "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words)), (3, " ".join(reversed(words))), (4, None)], DOC)
+    log, blocks, search = [], decontamination._blocks, decontamination._search
+
+    def logged(*args):
+        for found, more in blocks(*args):
+            log.append(len(found))
+            yield found, more
+
+    monkeypatch.setattr(decontamination, "_blocks", logged)
+    monkeypatch.setattr(decontamination, "_search", lambda held: (log.append("searched"), search(held))[1])
+    out = {r.doc_id: r.found for r in decontamination.contamination(df, bench, window=4, block=40).collect()}
+    assert out[1] == out[2] and out[1].n_hit == 58 and len(out[1]["items"]) == 28 and len(out[1].spans) == 1 and out[3].n_hit == out[4].n_words == 0
+    assert len(log) > 10 and log[1::2] == ["searched"] * (len(log) // 2) and max(x for x in log if x != "searched") <= 5  # 40 bytes are five strings of two-byte words
 
 
 BASE = (
@@ -96,6 +117,42 @@ def test_ledger_scans_only_what_is_new(spark):
     assert secrets.scan(one.limit(0)).count() == 0
 
 
+def test_a_kept_ledger_grows_by_what_is_new(spark, tmp_path):
+    path, docs = str(tmp_path / "ledger"), secret_texts()
+    df = spark.createDataFrame(list(enumerate(docs)), DOC)
+    first = secrets.record(df.where("doc_id % 2 = 0"), path)
+    n = first.count()
+    second = secrets.record(df, path)
+    assert n == 3 * len({d or "" for d in docs[::2]}) and second.count() == second.select("blob", "kind", "version").distinct().count() == 3 * len({d or "" for d in docs})
+    scans = sorted(spark.read.schema(secrets.LEDGER).parquet(str(p)).count() for p in (tmp_path / "ledger").iterdir() if p.is_dir())
+    assert sum(scans) == second.count() and n in scans  # nothing is scanned twice
+    assert secrets.record(df, path).count() == second.count()
+    for r in secrets.findings(df, second, ["doc_id"]).collect():
+        assert secrets_listed(r.spans) == brute_spans(docs[r.doc_id])
+
+
+def secrets_listed(spans):
+    return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans)
+
+
+def test_secret_columns_that_clash_stay(spark):
+    df = spark.createDataFrame([(1, "token = abcdefg")], DOC).withColumns({"blob": F.lit("mine"), "spans": F.lit(3), "_salt": F.lit(1), "_path": F.lit(2)})
+    out = secrets.findings(df, secrets.scan(df), ["doc_id", "blob", "spans", "_salt", "_path"])
+    assert out.columns == ["doc_id", "blob", "spans", "_salt", "_path", "blob_", "spans_"]
+    assert [(r.blob, r.spans, len(r.spans_)) for r in out.collect()] == [("mine", 3, 1)]
+
+
+def test_query_reuses_a_ledger(spark, monkeypatch):
+    from kinlink.llm import queries
+
+    seen, record = [], secrets.record
+    monkeypatch.setattr(secrets, "record", lambda df, path: (seen.append((path, df.count())), record(df, path))[1])
+    rows = queries.op9_blob_ledger_secrets(spark, "/root/testdata/sf0.001").collect()
+    assert len(seen) == 2 and seen[0][0] == seen[1][0] and 0 < seen[0][1] < seen[1][1] == len(rows)
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert all(r.spans == brute_spans(docs[r.doc_id]) for r in rows)
+
+
 def brute_counts(text):
     w = SPACED.findall(text or "")
     lines = [x for x in (text or "").split("\n") if SPACED.search(x)]
@@ -132,8 +189,10 @@ def test_verdicts_keep_labelled_clean_documents(spark):
     rows = quality.score(docs, ["doc_id"]).join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id").where("NOT base_failed").collect()
     kept = {k: [r.kept for r in rows if r.label == k] for k in (0, 1)}
     assert sum(kept[1]) / len(kept[1]) > 0.99 and sum(kept[0]) / len(kept[0]) < 0.5
-    out = quality.keep_good(docs.withColumn("quality", F.lit(1)).withColumn("kept", F.lit("x")))
-    assert out.columns == [*docs.columns, "quality", "kept"] and 0 < out.count() < docs.count()
+    out = quality.keep_good(docs.withColumn("quality", F.lit(1)).withColumn("kept", F.lit("x")).withColumn("_row", F.lit(1)).withColumn("_text", F.lit(1)))
+    assert out.columns == [*docs.columns, "quality", "kept", "_row", "_text"] and 0 < out.count() < docs.count()
+    out = quality.score(docs.withColumn("n_words", F.lit(-1)).withColumn("_w", F.lit(-2)), ["doc_id", "n_words", "_w"])
+    assert out.where("n_words = -1 AND _w = -2 AND n_words_ >= 0").count() == docs.count()
     assert quality.keep_good(docs.limit(0)).count() == 0
 
 
