@@ -291,8 +291,8 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def kept(path: pd.Series, around: pd.Series, at: pd.Series, own: pd.Series, common: pd.Series, before: pd.Series, before_path: pd.Series, after: pd.Series, after_path: pd.Series) -> pd.Series:
-    """Which lines of ``at`` stay, where not those that roles alone give.  A neighbour that shares nine tenths of a page's lines or more is a copy and proves as little as one that shares none; then the other neighbour decides."""
+def kept(path: pd.Series, around: pd.Series, at: pd.Series, own: pd.Series, common: pd.Series, before: pd.Series, before_path: pd.Series, after: pd.Series, after_path: pd.Series) -> pd.DataFrame:
+    """``DECIDED``: which lines of ``at`` stay, where not those that roles alone give; how many lines of the page its neighbour shares, as far as that proves anything, and how many stay.  A neighbour that shares nine tenths of a page's lines or more is a copy and proves as little as one that shares none; then the other neighbour decides."""
     out = []
     for p, mine, places, article, often, b, bp, a, ap in zip(path, around, at, own, common, before, before_path, after, after_path, strict=True):
         mine, often = list(mine), set() if often is None else set(often)
@@ -312,8 +312,17 @@ def kept(path: pd.Series, around: pd.Series, at: pd.Series, own: pd.Series, comm
         else:
             roles = list(places)
             stay = [i for i in places if i not in same]
-        out.append(None if stay == roles else stay)
-    return pd.Series(out, dtype=object)
+        out.append((None if stay == roles else stay, len(mine), len(same) if proof else 0, len(stay), len(set(range(len(mine))) - set(stay) - (same if proof else set()))))
+    return pd.DataFrame(out, columns=["stay", "n_lines", "n_shared", "n_kept", "n_by_role"])
+
+
+DECIDED = "stay array<int>, n_lines int, n_shared int, n_kept int, n_by_role int"
+
+
+def decided(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """What the comparison did to every page: ``page_id`` and the numbers of its lines, of those its neighbour shares, of those kept, and of those that only their role deletes."""
+    held, by_page = _compared(pages, page, url, html)
+    return held.select("_id", "page_id").join(by_page.drop("stay"), "_id").drop("_id")
 
 
 def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -324,6 +333,15 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     pages that differencing changes is too long to broadcast.  A host of any
     size is cut into ranges of its paths.
     """
+    held, by_page = _compared(pages, page, url, html)
+    roles = F.when(F.exists("own", lambda x: x), F.col("own")).otherwise(F.transform("own", lambda _: F.lit(True)))
+    left = F.filter(F.arrays_zip("lines", "at", roles.alias("role")), lambda x: F.coalesce(F.array_contains(F.col("stay"), x["at"]), x["role"]))
+    changed = by_page.where("stay IS NOT NULL").select("_id", "stay")
+    return held.join(changed, "_id", "left").select("page_id", "url", F.array_join(F.transform(left, lambda x: x["lines"]), "\n").alias("text"))
+
+
+def _compared(pages: DataFrame, page: str, url: str, html: str) -> tuple[DataFrame, DataFrame]:
+    """The parsed pages, and ``_id`` with ``DECIDED`` of each, both written."""
     small_batches(pages.sparkSession)
     raw = pages.select(pages[page].cast("long").alias("page_id"), pages[url].alias("url"), pages[html].alias("html")).mapInPandas(parsed, PARSED)
     held = materialize(raw.withColumn("_id", F.monotonically_increasing_id()), "pages")
@@ -335,9 +353,6 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     step = lambda by: order.select((F.col("_rank") + by).alias("_rank"), F.col("host").alias(f"h{by + 1}"), F.col("path").alias(f"p{by + 1}"), F.col("around").alias(f"x{by + 1}"))
     side = lambda k, c: F.when(F.col(f"h{k}") == F.col("host"), F.col(f"{c}{k}"))
     near = order.join(step(1), "_rank", "left").join(step(-1), "_rank", "left").join(common, "host", "left")
-    stay = F.pandas_udf(kept, "array<int>").asNondeterministic()("path", "around", "at", "own", "common", side(2, "x"), F.coalesce(side(2, "p"), F.lit("")), side(0, "x"), F.coalesce(side(0, "p"), F.lit("")))
-    # Not deterministic: a filter pushed below would run it twice.
-    changed = materialize(near.select("_id", stay.alias("_stay")).where("_stay IS NOT NULL"), "changed")
-    roles = F.when(F.exists("own", lambda x: x), F.col("own")).otherwise(F.transform("own", lambda _: F.lit(True)))
-    left = F.filter(F.arrays_zip("lines", "at", roles.alias("role")), lambda x: F.coalesce(F.array_contains(F.col("_stay"), x["at"]), x["role"]))
-    return held.join(changed, "_id", "left").select("page_id", "url", F.array_join(F.transform(left, lambda x: x["lines"]), "\n").alias("text"))
+    verdict = F.pandas_udf(kept, DECIDED).asNondeterministic()("path", "around", "at", "own", "common", side(2, "x"), F.coalesce(side(2, "p"), F.lit("")), side(0, "x"), F.coalesce(side(0, "p"), F.lit("")))
+    # Not deterministic: a selection pushed below would run it twice.
+    return held, materialize(near.select("_id", verdict.alias("v")).select("_id", "v.*"), "decided")

@@ -133,3 +133,23 @@ def test_records_of_foreign_archives(spark, tmp_path):
         list(warc.parse(parts[1][:-20]))
     with pytest.raises(ValueError):
         list(warc.parse(b"nothing of the kind\r\n"))
+
+
+def test_every_page_is_compared(spark):
+    """Each page's lines are told apart: kept, shared with its neighbour, or deleted for their role alone."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = html.decided(pages).collect()
+    assert len(rows) == pages.count()
+    assert all(r.n_kept + r.n_by_role <= r.n_lines <= r.n_kept + r.n_by_role + r.n_shared for r in rows)
+    assert sum(r.n_shared > 0 for r in rows) > 20 and sum(r.n_shared for r in rows) > 50
+    site = [(i, f"http://h.example/a/{i}", SITE.format(f"<p>story {i}</p><p>more of {i}</p><p>and {i}</p><p>last {i}</p>")) for i in range(4)]
+    got = html.decided(spark.createDataFrame(site, PAGE)).collect()
+    assert {(r.n_lines, r.n_shared, r.n_kept, r.n_by_role) for r in got} == {(7, 3, 4, 0)}
+
+
+def test_clashing_names_and_repeated_pages(spark):
+    rows = [(1, "http://h.example/1", "<article><p>one</p></article>")] * 2 + [(None, None, None)]
+    df = spark.createDataFrame(rows, PAGE).withColumns({c: F.lit(c) for c in ("lines", "host", "_id", "stay", "_payload", "fields")})
+    out = html.main_text(df)
+    assert out.columns == ["page_id", "url", "text"] and sorted(r.text for r in out.collect()) == ["", "one", "one"]
+    assert html.decided(df.limit(0)).count() == 0
