@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,17 +41,66 @@ def jaro_winkler_bytes(a: bytes, b: bytes) -> float:
     return jaro + 0.1 * same * (1 - jaro)
 
 
+#: Cells of a matrix of pairs; bytes beyond which a pair is compared on its own.
+_CELLS, _LONG = 1 << 16, 512
+
+
+def _matrix(values: list[bytes], sizes: np.ndarray, fill: int) -> np.ndarray:
+    """A row a value, filled up with a byte that no UTF-8 text holds."""
+    width = int(sizes.max())
+    out = np.array(values, dtype=f"S{width}").view(np.uint8).reshape(len(values), width)
+    out[np.arange(width) >= sizes[:, None]] = fill
+    return out
+
+
+def _together(a: list[bytes], b: list[bytes], n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The similarity of pairs of about one length, byte by byte of the first side for all at once."""
+    left, right = _matrix(a, n, 0xFF), _matrix(b, m, 0xFE)
+    rows, places = np.arange(len(a)), np.arange(right.shape[1])
+    reach = np.maximum(0, np.maximum(n, m) // 2 - 1)
+    most, free, hit = int(reach.max()), places < m[:, None], np.zeros(left.shape, dtype=bool)
+    for i in range(left.shape[1]):
+        lo, hi = max(0, i - most), i + most + 1
+        same = (right[:, lo:hi] == left[:, i : i + 1]) & free[:, lo:hi] & (np.abs(places[lo:hi] - i) <= reach[:, None])
+        if not same.shape[1]:
+            break
+        j = same.argmax(axis=1)
+        found = same[rows, j]
+        hit[:, i] = found
+        free[rows[found], lo + j[found]] = False
+    k = hit.sum(axis=1)
+    of = np.repeat(rows, k)
+    half = np.bincount(of, left[hit] != right[(places < m[:, None]) & ~free], minlength=len(a)).astype(np.int64) // 2
+    jaro = (k / n + k / m + (k - half) / np.maximum(k, 1)) / 3
+    wide = min(4, left.shape[1], right.shape[1])
+    lead = np.logical_and.accumulate(left[:, :wide] == right[:, :wide], axis=1).sum(axis=1)
+    return np.where(jaro > 0.7, jaro + 0.1 * lead * (1 - jaro), jaro)
+
+
+def jaro_winkler_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """``jaro_winkler_bytes`` of many pairs of unequal, non-empty values."""
+    n, m = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+    out, widest = np.empty(len(a)), np.maximum(n, m)
+    order, at = np.argsort(widest, kind="stable"), 0
+    while at < len(order):
+        some = order[at : at + max(1, _CELLS // int(widest[order[at]]))]
+        some = some[widest[some] <= max(16, 2 * widest[some[0]])]
+        at += len(some)
+        x, y = [a[i] for i in some], [b[i] for i in some]
+        out[some] = _together(x, y, n[some], m[some]) if widest[some[-1]] <= _LONG else [jaro_winkler_bytes(p, q) for p, q in zip(x, y, strict=True)]
+    return out
+
+
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    seen: dict[tuple[str, str], float] = {}
-    out = []
-    for pair in zip(a, b, strict=True):
-        if pair[0] is None or pair[1] is None:
-            out.append(None)
-            continue
-        if pair not in seen:
-            seen[pair] = jaro_winkler_bytes(pair[0].encode(), pair[1].encode())
-        out.append(seen[pair])
-    return pd.Series(out, dtype="float64")
+    out = np.full(len(a), np.nan)
+    there = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+    if len(there):
+        pairs = pd.DataFrame({"a": a.iloc[there].to_numpy(), "b": b.iloc[there].to_numpy()})
+        which = pairs.groupby(["a", "b"], sort=False).ngroup().to_numpy()
+        first = np.unique(which, return_index=True)[1]
+        each = jaro_winkler_pairs([x.encode() for x in pairs["a"].iloc[first]], [x.encode() for x in pairs["b"].iloc[first]])
+        out[there] = each[which]
+    return pd.Series(out).astype(object).where(pd.Series(out).notna(), None)
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -11,10 +12,14 @@ from pyspark.sql import functions as F
 from ..config import ADDRESS_WORDS, LEGAL_SUFFIXES
 
 
+#: Runs of what is neither letter nor digit; \w holds the underscore too.
+_OTHER = re.compile(r"[\W_]+")
+
+
 def fold(value: str) -> str:
     """One value: compatibility form, case folded, ampersands spelled out, letters and digits kept, single spaces."""
     folded = unicodedata.normalize("NFKC", value.strip()).casefold().replace("&", " and ")
-    return " ".join("".join(c if c.isalnum() else " " for c in folded).split())
+    return _OTHER.sub(" ", folded).strip(" ")
 
 
 def _fold_all(values: pd.Series) -> pd.Series:

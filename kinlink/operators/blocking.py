@@ -1,8 +1,10 @@
 """Candidate pairs by cumulative blocking (AGG1-AGG5, JN1-JN6, PRJ2-PRJ5, WIN1-WIN4, FLT1-FLT6, SET2-SET3).
 
 A block is counted and pruned on the target side before it meets the first
-source, so a hot key never multiplies; what is left on the first side can be
-hot, and there AQE splits the join.
+source, so a hot key never multiplies.  Only the keys of blocks that are too
+large meet the rows again, salted, so that a hot key's rows are dropped where
+they are or in many tasks.  What is left on the first side can be hot, and there
+AQE splits the join.
 """
 
 from __future__ import annotations
@@ -24,6 +26,16 @@ EXACT_RULES = (("exact_name", "name_normalized", 3, 4), ("exact_core", "name_cor
 FLAGS = tuple(r[0] for r in EXACT_RULES)
 
 
+#: Parts over which the rows of a key that is too frequent are spread before they go; such keys hold many rows each, so their list stays short.
+SALTS = 16
+
+
+def without_large(df: DataFrame, keys: list[str], most: int, by: str) -> DataFrame:
+    """The rows of ``df`` whose keys stand in at most ``most`` rows; ``by`` tells rows of a key apart."""
+    large = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most).select(*keys, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(large, [*keys, "_salt"], "left_anti").drop("_salt")
+
+
 def block_sizes(targets: DataFrame, key: str, least: int) -> DataFrame:
     """AGG1: rows of each block (country, key) of long enough keys."""
     return targets.where((F.col(key) != "") & (F.length(key) >= least)).groupBy(COUNTRY, key).agg(F.count("*").alias("block_size"))
@@ -45,8 +57,8 @@ def exact_candidates(first: DataFrame, targets: DataFrame, cfg: Blocking = Block
     """2A: pairs that agree on country and name, core or address, in blocks of at most ``max_block_size`` targets."""
     found = []
     for flag, key, least, _ in EXACT_RULES:
-        blocks = block_sizes(targets, key, least).where(F.col("block_size") <= cfg.max_block_size).select(COUNTRY, key)
-        small = targets.select(COUNTRY, key, *PAIR[1:]).join(blocks, [COUNTRY, key], "left_semi")
+        fit = targets.where((F.col(key) != "") & (F.length(key) >= least)).select(COUNTRY, key, *PAIR[1:])
+        small = without_large(fit, [COUNTRY, key], cfg.max_block_size, PAIR[1])
         found.append(first.select("source1_entity_id", COUNTRY, key).join(small, [COUNTRY, key]).select(*PAIR, *[F.lit(int(f == flag)).alias(f) for f in FLAGS]))
     pairs = _by_id(found[0].unionByName(found[1]).unionByName(found[2])).groupBy(*PAIR).agg(*[F.max(f).alias(f) for f in FLAGS])
     score = sum(w * F.col(flag) for flag, _, _, w in EXACT_RULES)
@@ -68,8 +80,8 @@ def shared_tokens(first: DataFrame, targets: DataFrame, text: str, stop_words: I
     """
     mine = postings(first, ["source1_entity_id"], text, stop_words, drop_numbers).distinct()
     theirs = postings(targets, PAIR[1:], text, stop_words, drop_numbers).distinct()
-    rare = theirs.groupBy(COUNTRY, "token").agg(F.count("*").alias("df")).where(F.col("df") <= most)
-    met = mine.join(theirs.join(rare, [COUNTRY, "token"]), [COUNTRY, "token"])
+    rare = without_large(theirs, [COUNTRY, "token"], most, PAIR[1]).withColumn("df", F.count("*").over(Window.partitionBy(COUNTRY, "token")))
+    met = mine.join(rare, [COUNTRY, "token"])
     weight = F.sum(1.0 / F.log(2.0 + F.col("df").cast("double")))
     return met.groupBy(*PAIR).agg(F.count("*").alias("shared"), F.round(weight, digits).alias("weight")).where(F.col("shared") >= least)
 
@@ -99,9 +111,9 @@ def _prefix(cfg: Blocking) -> Column:
 def prefix_pairs(first: DataFrame, targets: DataFrame, cfg: Blocking = Blocking()) -> DataFrame:
     """JN6, AGG3, FLT4: pairs of one country and core prefix, in blocks of at most ``max_prefix_frequency`` targets, with near lengths."""
     theirs = targets.select(COUNTRY, *PAIR[1:], F.col("name_core").alias("_theirs"), _prefix(cfg).alias("_prefix")).where(F.length("_prefix") == cfg.prefix)
-    few = theirs.groupBy(COUNTRY, "_prefix").agg(F.count("*").alias("_n")).where(F.col("_n") <= cfg.max_prefix_frequency).drop("_n")
+    few = without_large(theirs, [COUNTRY, "_prefix"], cfg.max_prefix_frequency, PAIR[1])
     mine = first.select(COUNTRY, "source1_entity_id", F.col("name_core").alias("_mine"), _prefix(cfg).alias("_prefix"))
-    met = mine.join(theirs.join(few, [COUNTRY, "_prefix"], "left_semi"), [COUNTRY, "_prefix"])
+    met = mine.join(few, [COUNTRY, "_prefix"])
     return met.where(F.abs(F.length("_mine") - F.length("_theirs")) <= cfg.max_length_gap)
 
 

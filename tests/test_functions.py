@@ -48,6 +48,22 @@ def test_similarities_match_duckdb(spark):
         assert may or want[0] < 0.88, (a, b)
 
 
+def test_similarity_of_many_pairs_is_that_of_each():
+    pick = random.Random(8)
+    word = lambda most: "".join(pick.choice("abcé ") for _ in range(pick.randrange(1, most))).encode()
+    a, b = [word(m) for m in [14] * 1500 + [90] * 300 + [700] * 20 + [2]], [word(m) for m in [14] * 1500 + [60] * 300 + [900] * 20 + [400]]
+    assert list(similarity.jaro_winkler_pairs(a, b)) == [similarity.jaro_winkler_bytes(x, y) if x != y else 1.0 for x, y in zip(a, b, strict=True)]
+
+
+def test_fold_keeps_letters_and_digits_of_every_script():
+    import unicodedata
+
+    for start in range(0, 0x11000, 64):
+        value = "a" + "".join(chr(c) for c in range(start, start + 64) if not 0xD800 <= c < 0xE000) + "z"
+        folded = unicodedata.normalize("NFKC", value.strip()).casefold().replace("&", " and ")
+        assert text.fold(value) == " ".join("".join(c if c.isalnum() else " " for c in folded).split())
+
+
 def test_contains_either(spark):
     rows = spark.createDataFrame([("ab", "xabx"), ("xabx", "ab"), ("", "a"), ("a", "b")], "a string, b string")
     assert [r[0] for r in rows.select(similarity.contains_either(F.col("a"), F.col("b"))).collect()] == [True, True, False, False]
