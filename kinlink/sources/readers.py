@@ -51,9 +51,30 @@ def require_columns(df: DataFrame, names: Iterable[str], what: str = "input") ->
     return df
 
 
-def read_tsv(spark: SparkSession, path: str, columns: Iterable[str] | None = None, na_cells: Iterable[str] = ()) -> DataFrame:
-    """A tab-separated file with a header; every column a string, read by name.  ``na_cells`` become null; quotes double inside quotes."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False).option("mode", "PERMISSIVE")
+def _files(spark: SparkSession, path: str) -> list:
+    """The data files at a path, in the order of their names."""
+    at, fs = _path(spark, path)
+    status = fs.listStatus(at)
+    return sorted((s.getPath().toString(), s.getLen()) for s in status if s.isFile() and not s.getPath().getName().startswith(("_", ".")))
+
+
+def file_bytes(spark: SparkSession, path: str) -> int:
+    return sum(n for _, n in _files(spark, path))
+
+
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """The first line of a TSV file (of the first part of a folder of them), cell by cell."""
+    lines = spark.read.text(_files(spark, path)[0][0]).take(1)
+    return tuple(lines[0][0].split("\t")) if lines else ()
+
+
+def read_tsv(spark: SparkSession, path: str, columns: Iterable[str] | None = None, na_cells: Iterable[str] = (), quoted_line_ends: bool = False) -> DataFrame:
+    """A tab-separated file with a header; every column a string, read by name.  ``na_cells`` become null; quotes double inside quotes.
+
+    With ``quoted_line_ends`` a quoted cell may hold line ends; then a file is
+    read by one task, where otherwise it is cut into many.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", quoted_line_ends).option("mode", "PERMISSIVE")
     if columns is None:
         df = reader.csv(path)
     else:
@@ -64,14 +85,14 @@ def read_tsv(spark: SparkSession, path: str, columns: Iterable[str] | None = Non
     return df.select(*[F.when(~F.col(c).isin(cells), F.col(c)).alias(c) for c in df.columns]) if cells else df
 
 
-def read_raw(spark: SparkSession, path: str, na_cells: Iterable[str] = NA_CELLS) -> DataFrame:
-    """SRC1-SRC2: a raw source."""
-    return read_tsv(spark, path, RAW, na_cells)
+def read_raw(spark: SparkSession, path: str, na_cells: Iterable[str] = NA_CELLS, quoted_line_ends: bool = True) -> DataFrame:
+    """SRC1-SRC2: a raw source.  Its cells may hold quoted line ends; say no where they are known not to, and large files are read by many tasks."""
+    return read_tsv(spark, path, RAW, na_cells, quoted_line_ends)
 
 
-def read_truth(spark: SparkSession, path: str, na_cells: Iterable[str] = NA_CELLS) -> DataFrame:
-    """SRC3: known matches as (source1_entity_id, matched_entity_ids), under any of their accepted names."""
-    df = read_tsv(spark, path, None, na_cells)
+def read_truth(spark: SparkSession, path: str, na_cells: Iterable[str] = NA_CELLS, quoted_line_ends: bool = True) -> DataFrame:
+    """SRC3, SRC8: known matches as (source1_entity_id, matched_entity_ids), under any of their accepted names."""
+    df = read_tsv(spark, path, None, na_cells, quoted_line_ends)
     chosen = {}
     for name, accepted in TRUTH_NAMES.items():
         chosen[name] = next((c for c in accepted if c in df.columns), None)

@@ -155,8 +155,10 @@ def test_model_trains_scores_and_reloads(spark, tmp_path):
     scored = matcher.score(matcher.load(str(tmp_path / "m")), rows.where("dataset_split = 'validation'"), 0.5)
     m = matcher.pair_metrics(scored).first()
     assert (m.fp, m.fn, m.precision, m.recall, m.f0_5) == (0, 0, 1.0, 1.0, 1.0)
-    assert matcher.importances(model)[0][0] == "name_jaro_winkler"
-    assert matcher.score_summary(scored).first().rows == 80
+    best = matcher.importances(model)[0]
+    assert best[0] == "name_jaro_winkler" and best[1] > 0.9 and 1 <= best[2] <= 3
+    summary = matcher.score_summary(scored).first()
+    assert summary.rows == 80 and summary.sum_probability == pytest.approx(80 * summary.mean_probability)
 
 
 def test_normalized_source_passes_its_gate(spark):

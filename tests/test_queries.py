@@ -32,3 +32,12 @@ def test_matches_sql(spark, db, name):
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
     assert set(ORACLES) <= set(entry.queries())
+
+
+def test_trained_scores_tell_matches_apart(spark):
+    """The trees have no SQL: their scores of the validation split are held within fixed ranges."""
+    out = corpus.gbt_scores(spark, "/root/testdata/sf0.01").toPandas()
+    assert out.match_probability.between(0, 1).all() and set(out.predicted_match) <= {0, 1}
+    assert (out.predicted_match == (out.match_probability >= 0.5)).all()
+    mean = out.groupby("label").match_probability.mean()
+    assert mean[1] - mean[0] > 0.2 and (out.predicted_match == out.label).mean() > 0.9

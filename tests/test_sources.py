@@ -5,6 +5,7 @@ import json
 import pytest
 
 from kinlink.__main__ import main
+from kinlink.operators import validation
 from kinlink.sources import readers, writers
 from kinlink.streaming.ingest import normalize_stream
 
@@ -26,6 +27,28 @@ def test_raw_cells(spark, tmp_path):
         readers.read_raw(spark, put(tmp_path / "t.tsv", "entity_id\tx\n1\t2\n"))
 
 
+def test_quoted_line_ends_stay_in_their_cell(spark, tmp_path):
+    path = put(tmp_path / "s.tsv", HEAD + 'S1-1\t"two\nlines\tand a tab"\t"a ""b"""\tUS\nS1-2\tx\ty\tUS\n')
+    assert [tuple(r) for r in readers.read_raw(spark, path).collect()] == [("S1-1", "two\nlines\tand a tab", 'a "b"', "US"), ("S1-2", "x", "y", "US")]
+    truth = put(tmp_path / "g.tsv", 'source1_entity_id\tmatched_ids\nS1-1\t"S2-1,\nS2-2"\n')
+    assert readers.read_truth(spark, truth).first().matched_entity_ids == "S2-1,\nS2-2"
+
+
+def test_exported_files_are_checked(spark, tmp_path):
+    matching = spark.createDataFrame([("S1-1", "S2-1"), ("S1-2", "")], "source1_entity_id string, matched_entity_ids string")
+    pairs = spark.createDataFrame([("S1-1", "S2-1")], "source1_entity_id string, candidate_entity_id string")
+    m, p = str(tmp_path / "m"), str(tmp_path / "p")
+    writers.write_tsv(matching.repartition(2), m, one_file=True)
+    writers.write_tsv(pairs, p)
+    assert len(list((tmp_path / "m").glob("part-*"))) == 1
+    good = validation.check_files(spark, m, p, matching, pairs).first()
+    assert good.passed and good.matching_file_rows == 2 and good.candidates_bytes == sum(x.stat().st_size for x in (tmp_path / "p").glob("part-*"))
+    assert not validation.check_files(spark, m, p, matching.limit(1), pairs).first().passed
+    writers.write_tsv(matching.select("matched_entity_ids", "source1_entity_id"), m)
+    bad = validation.check_files(spark, m, p, matching, pairs).first()
+    assert not bad.passed and not bad.matching_header and bad.candidates_header
+
+
 def test_truth_aliases_and_gates(spark, tmp_path):
     path = put(tmp_path / "g.tsv", "entity_id\tmatched_ids\nS1-1\tS2-1\n")
     assert readers.read_truth(spark, path).columns == ["source1_entity_id", "matched_entity_ids"]
