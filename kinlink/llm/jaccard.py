@@ -242,9 +242,10 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     copies = of_row.where("doc_id <> node").select("doc_id", "n", "s1")
     tokens = rows.mapInArrow(_leading(k, frequent), "doc_id long, n long, s1 long, late int, tokens array<long>").join(copies, ["doc_id", "n", "s1"], "left_anti")
     tokens = tokens.select(F.col("doc_id").alias("node"), "n", (F.size("tokens") - F.col("late")).alias("plain"), F.posexplode("tokens").alias("pos", "token"))
-    every = Window.partitionBy("token")
-    rare = tokens.where("pos < plain").withColumn("_a", F.min("node").over(every)).withColumn("_b", F.max("node").over(every)).where("_a <> _b")
-    met = rare.select("token", "pos", "node", "n").unionByName(tokens.where("pos >= plain").select("token", "pos", "node", "n"))
+    # Frequent ones are salted, so that none fills a task.
+    every = Window.partitionBy("token", "_salt")
+    tokens = tokens.withColumn("_salt", F.when(F.col("pos") >= F.col("plain"), F.pmod(F.xxhash64("node"), F.lit(1024))).otherwise(F.lit(0)))
+    met = tokens.withColumn("_a", F.min("node").over(every)).withColumn("_b", F.max("node").over(every)).where("pos >= plain OR _a <> _b").select("token", "pos", "node", "n")
     # A node with a partner has k such tokens at least, k of the smallest partner it can have; so few have them that this stands before every other join.
     least = _SPARE.replace("n", "((4 * n + 4) div 5)")
     led = met.withColumn("_c", F.count("*").over(Window.partitionBy("node", "n"))).where(f"_c >= {least}").join(of, "node")
