@@ -336,7 +336,8 @@ def main_text(pages: DataFrame, page: str = "page_id", url: str = "url", html: s
     held, by_page = _compared(pages, page, url, html)
     roles = F.when(F.exists("own", lambda x: x), F.col("own")).otherwise(F.transform("own", lambda _: F.lit(True)))
     left = F.filter(F.arrays_zip("lines", "at", roles.alias("role")), lambda x: F.coalesce(F.array_contains(F.col("stay"), x["at"]), x["role"]))
-    changed = by_page.where("stay IS NOT NULL").select("_id", "stay")
+    # Written, so that its own size decides whether it is broadcast.
+    changed = materialize(by_page.where("stay IS NOT NULL").select("_id", "stay"), "changed")
     return held.join(changed, "_id", "left").select("page_id", "url", F.array_join(F.transform(left, lambda x: x["lines"]), "\n").alias("text"))
 
 
