@@ -259,7 +259,14 @@ def truth_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known matches as a TSV file, read back and split into links."""
     path = scratch_path(spark, "truth")
     writers.write_tsv(truth(spark, sf_dir), path, one_file=True)
-    return labels.truth_links(readers.read_truth(spark, path))
+    return labels.truth_links(readers.read_truth(spark, readers.find_file(spark, path, "part-00000.csv")))
+
+
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export's report as a JSON file, read back."""
+    path = scratch_path(spark, "report")
+    writers.write_report(validate_matching(spark, sf_dir), path)
+    return spark.read.option("multiLine", True).json(path)
 
 
 def stage_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,7 +300,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         normalize_sources, profile_source, country_distribution, top_tokens, match_histogram, match_sources, ground_truth_links, candidates_exact, candidates_token, candidates_fuzzy, candidates_address,
         candidate_summary, candidate_by_source, rule_coverage, candidate_recall, entity_coverage, labeled_pairs, sample_summary, pair_features, feature_summary, threshold_sweep, best_threshold,
-        matching_results, validate_normalized, validate_labeled, validate_features, validate_candidates, validate_matching, validate_files, source_files, truth_files, stage_files, class_weights, pair_metrics,
+        matching_results, validate_normalized, validate_labeled, validate_features, validate_candidates, validate_matching, validate_files, source_files, truth_files, stage_files, report_files, class_weights, pair_metrics,
         score_summary, gbt_scores,
     )
     out = {f.__name__: f for f in named}

@@ -191,5 +191,8 @@ _SELECTS = {
 }
 
 
+_SELECTS["report_files"] = _SELECTS["validate_matching"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _query(select) for name, select in _SELECTS.items()}
