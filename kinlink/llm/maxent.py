@@ -16,11 +16,11 @@ same weights, the gradients are summed, and the driver takes one step, scaled
 by how often each weight row was met.  A sum doesn't depend on how texts lie in
 partitions, so neither do the weights (but for the order of additions).
 
-Sizes grow with the square root of the training tokens T: the tree holds the
-most frequent tokens, at most 2^ceil(log2(16 sqrt(T))), and four times as many
-rows of eight weights are hashed into.  So does a training task's share of the
-input, which keeps the gradients that are sent in proportion to the input.
-Counts cover all training texts: per token, by its 64-bit hash, in a shuffled
+Sizes grow with the cube root of the training tokens T: the tree holds the most
+frequent tokens, 500 cbrt(T) at most, and four times as many rows of eight
+weights are hashed into.  So does a training
+task's share of the input, which keeps the gradients that are sent in proportion
+to the input.  Counts cover all training texts: per token, by its 64-bit hash, in a shuffled
 table; tokens outside the tree get theirs by a join.
 
 Null and empty texts have one token, the end.  A null id counts as the text "".
@@ -43,8 +43,8 @@ from pyspark.sql import functions as F
 from .shared import materialize, small_batches
 from .shingles import mix, word_hashes
 
-#: Branches of a class; rounds of training; rows of weights a message holds; tokens of a training task, as a multiple of sqrt(T).
-WAYS, ROUNDS, CHUNK, SHARE = 8, 5, 1 << 14, 1800
+#: Branches of a class; rounds of training; rows of weights a message holds; tokens of a training task, as a multiple of cbrt(T).
+WAYS, ROUNDS, CHUNK, SHARE = 8, 5, 1 << 14, 37_800
 #: Tokens in a numpy batch of training, and of scoring.
 LEARNED, BATCH = 1 << 18, 1 << 15
 #: A step is the gradient over CURVE * visits + RIDGE, with visits of all rounds so far, and no larger than MOST; no weight is larger than LARGEST.
@@ -53,17 +53,23 @@ CURVE, RIDGE, MOST, LARGEST = 0.3, 8.0, 2.0, 8.0
 END = np.uint64(0x5BD1E9955BD1E995)
 #: Stands for what is before a text.
 START = np.uint64(0x2545F4914F6CDD1D)
+_HALF = np.uint64(32)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
 def size_for(total: int) -> int:
-    """Tokens in the tree at most, for so many training tokens; of weights there are four times as many rows."""
-    return 1 << max(12, math.ceil(math.log2(16 * math.sqrt(max(total, 1)))))
+    """Tokens in the tree at most, for so many training tokens."""
+    return max(1 << 12, math.ceil(500 * math.cbrt(total)))
+
+
+def rows_for(total: int) -> int:
+    """Rows of weights, in whole chunks."""
+    return CHUNK * math.ceil(4 * size_for(total) / CHUNK)
 
 
 def tasks_for(total: int) -> int:
     """Training tasks of a round."""
-    return max(1, math.ceil(math.sqrt(total) / SHARE))
+    return max(1, math.ceil(math.cbrt(total) ** 2 / SHARE))
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -140,8 +146,8 @@ class Head:
 class Model:
     def __init__(self, head: Head, w: np.ndarray | None = None):
         self.head = head
-        self.w = np.zeros((4 * size_for(head.total), WAYS), dtype=np.float32) if w is None else w
-        self.shift = np.uint64(64 - (len(self.w).bit_length() - 1))
+        self.w = np.zeros((rows_for(head.total), WAYS), dtype=np.float32) if w is None else w
+        self.rows = np.uint64(len(self.w))
 
     @staticmethod
     def features(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray) -> list[np.ndarray]:
@@ -163,7 +169,9 @@ class Model:
             for f in features:
                 x = f ^ of if at is None else f.take(at) ^ of
                 x *= _ODD[0]
-                x >>= self.shift
+                x >>= _HALF
+                x *= self.rows
+                x >>= _HALF
                 rows.append(x.view(np.int64))
                 z += self.w.take(rows[-1], axis=0, out=more, mode="clip")
             mine = z.reshape(-1).take(np.arange(0, z.size, WAYS) + branch)
