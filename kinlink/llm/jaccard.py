@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .graph import components, join_back
-from .shared import materialize, small_batches
+from .shared import materialize, small_batches, whole
 from .shingles import mix, shingle_set
 
 #: Frequent tokens that are ordered last, at most: what is broadcast is 8 bytes each.
@@ -291,7 +291,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     like any others, and of their class, too, one row stays.
     """
     ids = docs.select(docs[doc_id].cast("long").alias("doc_id"))
-    row = F.struct(*[docs[c].alias(c) for c in docs.columns]).alias("_row")
+    row = whole(docs).alias("_row")
     if ids.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
         gone = link_classes(docs, doc_id, text, k).where("component_id < doc_id").select(F.col("doc_id").alias("_gone"))
         return docs.select(row).join(gone, F.col(f"_row.`{doc_id}`").cast("long") == F.col("_gone"), "left_anti").select("_row.*")

@@ -20,8 +20,8 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def whole(df: DataFrame) -> Column:
-    """The row as one struct, so that no name of a caller's column meets one of an operator's."""
-    return F.struct(*[df[c].alias(c) for c in df.columns])
+    """The row as one struct, so that no name of a caller's column meets one of an operator's; names may hold dots and backquotes."""
+    return F.struct(*[df["`" + c.replace("`", "``") + "`"].alias(c) for c in df.columns])
 
 
 def free(name: str, taken: list[str]) -> str:

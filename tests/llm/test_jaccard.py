@@ -166,3 +166,10 @@ def test_long_chains_contract(spark):
     assert graph.components(spark.createDataFrame([], "x long, y long")).count() == 0
     loose = graph.components(spark.createDataFrame([(None, 3), (4, None), (5, 5), (6, 7), (6, 7), (7, 6)], "x long, y long"))
     assert [tuple(r) for r in loose.collect()] == [(7, 6)]
+
+
+def test_names_with_dots_and_backquotes_stay(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text, "p", "q"), (2, text, "r", "s")], "doc_id long, text string, `a.b` string, `a``b` string")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, text, "p", "q")]
